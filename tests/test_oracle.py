@@ -1,0 +1,66 @@
+"""Every registered query against its SQL, row for row, over the given tables."""
+
+import math
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registered
+
+DIRECTORY = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+TABLES = ["customer", "orders", "lineitem"]
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.sql(
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{DIRECTORY}/{table}.parquet')"
+        )
+    return connection
+
+
+def _bag(rows, names):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+
+    def plain(value):
+        if isinstance(value, float):
+            return "nan" if math.isnan(value) else float(f"{value:.12g}")
+        return value
+
+    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+FAMILIES = {
+    "tinyint": "integer", "smallint": "integer", "int": "integer", "integer": "integer",
+    "bigint": "bigint", "double": "double", "string": "text", "varchar": "text",
+    "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp", "boolean": "boolean",
+}
+
+
+def test_every_query_has_sql():
+    assert set(registered.queries()) == set(registered.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(registered.queries()))
+def test_query_matches_sql(spark, oracle, name):
+    actual = registered.queries()[name](spark, DIRECTORY)
+    expected = oracle.sql(registered.oracle_sql()[name])
+    types = {field.name: field.dataType.simpleString() for field in actual.schema}
+    expected_types = dict(zip(expected.columns, map(str, expected.types)))
+    assert {n: FAMILIES[t] for n, t in types.items()} == {
+        n: FAMILIES[t.lower()] for n, t in expected_types.items()
+    }
+    rows = actual.collect()
+    assert rows, "an empty result checks nothing"
+    assert _bag(rows, actual.columns) == _bag(expected.fetchall(), expected.columns)
+
+
+def test_entry(spark):
+    rows = registered.entry(spark).collect()
+    assert len(rows) == 15
