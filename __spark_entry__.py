@@ -103,19 +103,19 @@ def _with_payments(t: RetailTables) -> DataFrame:
 
 
 def _monthly(t: RetailTables) -> DataFrame:
-    return calculate_monthly_totals(_with_payments(t))
+    return calculate_monthly_totals(_orders(t))
 
 
 def _classified(t: RetailTables, month: str | None = "ALL", **options) -> DataFrame:
-    return classify_orders(_with_payments(t), t.accounts, month, **options)
+    return classify_orders(_orders(t), t.accounts, month, **options)
 
 
 def _validated(t: RetailTables, month: str | None = "ALL"):
-    return validate_orders(_with_payments(t), t.accounts, month)
+    return validate_orders(_orders(t), t.accounts, month)
 
 
 def _rag(t: RetailTables, month: str | None = "ALL"):
-    return rag_tables(_with_payments(t), t.accounts, month)
+    return rag_tables(_orders(t), t.accounts, month)
 
 
 def _compared(t: RetailTables) -> DataFrame:

@@ -48,11 +48,11 @@ def in_month_range(day: Column, first: date, last: date) -> Column:
     return (day >= F.lit(first)) & (day < F.lit(next_month(last)))
 
 
-def from_month_on(day: Column, first: Column, latest: Column) -> Column:
-    """Whether a day lies in the month ``first`` or later, where ``latest`` is the
-    month of the greatest day of the whole table.
+def from_month_on(day: Column, first: Column) -> Column:
+    """Whether a day lies in the month ``first``, a scalar subquery, or later.
 
-    A table without any date has no latest month; all its rows are kept. The
-    first conjunct alone is a range that a file scan can use.
+    ``first`` is NULL for a table without any date; all its rows are kept then. The
+    first conjunct alone is a range that a file scan can use, provided ``first`` is
+    the bare subquery.
     """
-    return ((day >= first) | day.isNull()) & (day.isNotNull() | latest.isNull())
+    return ((day >= first) | day.isNull()) & (day.isNotNull() | first.isNull())

@@ -20,6 +20,10 @@ class Rule:
     code: str
     broken_when: str
 
+    def __post_init__(self):
+        if not self.code.isidentifier():
+            raise ValueError(f"not a rule code: {self.code!r}")
+
 
 DEFAULT_RULES: tuple[Rule, ...] = (
     Rule("MISSING_ACCOUNT_ID", "account_id IS NULL"),
@@ -42,15 +46,13 @@ def stale_order_rule(as_of: date, days: int = 365) -> Rule:
     )
 
 
-def _codes(rules: Sequence[Rule]) -> list[Column]:
-    return [F.when(F.expr(rule.broken_when), F.lit(rule.code)) for rule in rules]
-
-
 def first_broken_rule(rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
     """Code of the first broken rule, NULL when every rule holds."""
-    return F.coalesce(*_codes(rules), F.lit(None).cast("string"))
+    cases = [f"WHEN {rule.broken_when} THEN '{rule.code}'" for rule in rules]
+    return F.expr(f"CASE {' '.join(cases)} END" if cases else "CAST(NULL AS STRING)")
 
 
 def all_broken_rules(rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
     """Codes of all broken rules in precedence order, an empty array for a valid row."""
-    return F.array_compact(F.array(*_codes(rules), F.lit(None).cast("string")))
+    codes = [f"IF({rule.broken_when}, '{rule.code}', NULL)" for rule in rules]
+    return F.expr(f"array_compact(array({', '.join([*codes, 'CAST(NULL AS STRING)'])}))")

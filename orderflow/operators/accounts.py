@@ -18,8 +18,8 @@ def enrich_with_account_data(monthly_totals: DataFrame, accounts: DataFrame) ->
 
 def duplicate_accounts(accounts: DataFrame) -> DataFrame:
     """Account ids listed more than once, with their number of rows."""
-    counted = accounts.where(F.col("account_id").isNotNull()).groupBy("account_id").count()
-    return counted.where("count > 1").withColumnRenamed("count", "account_rows")
+    counted = accounts.groupBy("account_id").agg(F.count("*").alias("account_rows"))
+    return counted.where("account_id IS NOT NULL AND account_rows > 1")
 
 
 def require_unique_accounts(accounts: DataFrame) -> DataFrame:
@@ -28,6 +28,6 @@ def require_unique_accounts(accounts: DataFrame) -> DataFrame:
     The check is a scalar subquery over the ids and leaves the plan of the main
     query as it is.
     """
-    repeated = duplicate_accounts(accounts).agg(F.min("account_id").cast("string")).scalar()
+    repeated = duplicate_accounts(accounts).agg(F.expr("CAST(min(account_id) AS STRING)")).scalar()
     failure = F.raise_error(F.concat(F.lit("account listed more than once: "), repeated))
     return accounts.where(F.when(repeated.isNotNull(), failure.cast("boolean")).otherwise(True))

@@ -38,7 +38,7 @@ def orders_of_month(orders: DataFrame, target_month: str | date | None = None) -
         month = parse_month(target_month)
         return orders.where(in_month_range(F.col("order_date"), month, month))
     latest = latest_month(orders).scalar()
-    return orders.where(from_month_on(F.col("order_date"), latest, latest))
+    return orders.where(from_month_on(F.col("order_date"), latest))
 
 
 def monthly_measures(*extra: Column) -> list[Column]:

@@ -32,15 +32,15 @@ def join_orders_with_transactions(orders: DataFrame, transactions: DataFrame) ->
     split the oversized partition of a repeated id. The sums are the narrow side,
     two numbers per order.
     """
-    by_id = F.xxhash64("order_id")
-    lane = F.when(F.col("order_id").isNull(), F.xxhash64(*orders.columns)).otherwise(by_id)
-    paid = payment_summary(transactions).withColumn("_lane", by_id)
+    lane = F.expr("CASE WHEN order_id IS NULL THEN xxhash64(*) ELSE xxhash64(order_id) END")
+    paid = payment_summary(transactions).withColumn("_lane", F.xxhash64("order_id"))
     joined = orders.withColumn("_lane", lane).join(paid, ["order_id", "_lane"], "left")
-    return joined.select(
-        *orders.columns,
-        F.coalesce("total_paid", F.lit(0)).alias("total_paid"),
-        F.coalesce("transaction_count", F.lit(0)).alias("transaction_count"),
-    )
+    return joined.withColumns(
+        {
+            "total_paid": F.expr("coalesce(total_paid, 0)"),
+            "transaction_count": F.expr("coalesce(transaction_count, 0)"),
+        }
+    ).drop("_lane")
 
 
 def payment_reconciliation(orders_with_payments: DataFrame) -> DataFrame:

@@ -59,8 +59,9 @@ def compare_with_previous_month(
         month = F.lit(first)
         pair = orders.where(in_month_range(day, previous_month(first), first))
     else:
-        month = latest_month(orders).scalar()
-        pair = orders.where(from_month_on(day, F.add_months(month, -1), month))
+        before = latest_month(orders).select(F.add_months("order_month", -1)).scalar()
+        month = F.add_months(before, 1)
+        pair = orders.where(from_month_on(day, before))
 
     is_current = F.col("_current")
 

@@ -25,13 +25,14 @@ def classify_orders(
     target_month: str | date | None = None,
     rules: Sequence[Rule] = DEFAULT_RULES,
     with_violations: bool = False,
-    unique_accounts: bool = False,
+    unique_accounts: bool = True,
 ) -> DataFrame:
     """Every account-month of the chosen months with its account data and hold reason.
 
     ``target_month`` is a month, None for the latest one, or "ALL". Orders are
-    taken as they are: filter them by status first. ``unique_accounts`` makes the
-    plan fail on an account listed twice instead of repeating its rows.
+    taken as they are: filter them by status first. An account listed twice would
+    repeat its rows and count its money twice, so the plan fails when it runs; with
+    ``unique_accounts=False`` the rows are repeated.
     """
     if unique_accounts:
         accounts = require_unique_accounts(accounts)
@@ -48,7 +49,7 @@ def validate_orders(
     target_month: str | date | None = None,
     rules: Sequence[Rule] = DEFAULT_RULES,
     as_of: datetime | None = None,
-    unique_accounts: bool = False,
+    unique_accounts: bool = True,
 ) -> RoutedTables:
     """``classify_orders``, split into result and holding table."""
     classified = classify_orders(
@@ -65,7 +66,7 @@ def run_pipeline(
     target_month: str | date | None = None,
     rules: Sequence[Rule] = DEFAULT_RULES,
     as_of: datetime | None = None,
-    unique_accounts: bool = False,
+    unique_accounts: bool = True,
     **options,
 ) -> RoutedTables:
     """Load the three tables and validate one month, the latest, or all.

@@ -1,0 +1,63 @@
+from datetime import date
+
+import pytest
+
+import orderflow as of
+from tests.frames import enriched, orders, accounts
+
+LARGE, OVER = {"monthly_total": 10000.01}, {"order_count": 6}
+
+
+def _scored(frame, rules=of.DEFAULT_RULES, **options):
+    classified = of.apply_validation_rules(frame, rules, with_violations=True)
+    row = of.calculate_customer_risk_score(classified, **options).first()
+    return row["risk_score"], row["risk_category"]
+
+
+@pytest.mark.parametrize(
+    "changes, score, category",
+    [
+        ({}, 0, "LOW_RISK"),
+        ({"monthly_total": 10000.0}, 0, "LOW_RISK"),
+        ({"order_count": 5}, 0, "LOW_RISK"),
+        (LARGE, 15, "LOW_RISK"),
+        (OVER, 20, "LOW_RISK"),
+        ({**OVER, "customer_name": None}, 30, "MEDIUM_RISK"),
+        ({**LARGE, "customer_name": None}, 25, "MEDIUM_RISK"),
+        ({**OVER, **LARGE}, 35, "MEDIUM_RISK"),
+        ({**OVER, **LARGE, "customer_name": None}, 45, "MEDIUM_RISK"),
+        ({"order_limit": None}, 10, "LOW_RISK"),
+        ({"monthly_total": None}, 0, "LOW_RISK"),
+        ({"account_id": None, "customer_name": None, "order_limit": None}, 10, "LOW_RISK"),
+    ],
+)
+def test_score(spark, changes, score, category):
+    assert _scored(enriched(spark, **changes)) == (score, category)
+
+
+def test_threshold_of_a_large_total(spark):
+    assert _scored(enriched(spark, monthly_total=200.0), large_total=150) == (15, "LOW_RISK")
+
+
+def test_every_failure_counts_if_asked_for(spark):
+    all_broken = {
+        "account_id": None,
+        "customer_name": None,
+        "monthly_total": -1.0,
+        "order_count": 0,
+        "order_limit": None,
+    }
+    assert _scored(enriched(spark, **all_broken)) == (10, "LOW_RISK")
+    assert _scored(enriched(spark, **all_broken), per_failure=True) == (50, "HIGH_RISK")
+
+
+def test_stale_over_limit_and_nameless_is_high_risk(spark):
+    rules = (*of.DEFAULT_RULES, of.stale_order_rule(date(2024, 12, 1)))
+    classified = of.classify_orders(
+        orders(spark, *((f"O{i}", "A1", "2020-01-05", 9000.0) for i in range(2))),
+        accounts(spark, ("A1", None, 1)),
+        rules=rules,
+        with_violations=True,
+    )
+    row = of.calculate_customer_risk_score(classified, per_failure=True).first()
+    assert (row["risk_score"], row["risk_category"]) == (55, "HIGH_RISK")
