@@ -172,7 +172,9 @@ _QUERIES: dict[str, Callable[[RetailTables], DataFrame]] = {
     "monthly_account_totals": _monthly,
     "latest_month": lambda t: latest_month(_orders(t)),
     "enriched_monthly_totals": lambda t: enrich_with_account_data(_monthly(t), t.accounts),
-    "enriched_repeated_accounts": lambda t: enrich_with_account_data(_monthly(t), _with_repeats(t)),
+    "enriched_repeated_accounts": lambda t: enrich_with_account_data(
+        _monthly(t), _with_repeats(t), unique=False
+    ),
     "enriched_unique_accounts": lambda t: enrich_with_account_data(
         _monthly(t), require_unique_accounts(t.accounts)
     ),

@@ -6,14 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def enrich_with_account_data(monthly_totals: DataFrame, accounts: DataFrame) -> DataFrame:
+def enrich_with_account_data(
+    monthly_totals: DataFrame, accounts: DataFrame, unique: bool = True
+) -> DataFrame:
     """Add customer name and order limit; NULL for an account that is not known.
 
-    An account listed more than once multiplies its rows.
+    An account listed more than once multiplies its rows. ``unique=False`` gives
+    the same rows by another plan, for accounts that may be repeated very often:
+    adaptive execution can split the oversized side of an inner join, but not the
+    inner side of a left join, so known and unknown accounts are joined apart. Both
+    joins use null-safe equality, which leaves the totals unfiltered, so that they
+    are computed and shuffled once.
     """
-    return monthly_totals.join(
-        accounts.select("account_id", "customer_name", "order_limit"), "account_id", "left"
-    )
+    attributes = accounts.select("account_id", "customer_name", "order_limit")
+    if unique:
+        return monthly_totals.join(attributes, "account_id", "left")
+    listed = attributes.where("account_id IS NOT NULL").withColumnRenamed("account_id", "_id")
+    same = F.expr("account_id <=> _id")
+    known = monthly_totals.join(listed, same).drop("_id")
+    unknown = monthly_totals.join(listed.select("_id").distinct(), same, "left_anti")
+    return known.unionByName(unknown, allowMissingColumns=True)
 
 
 def duplicate_accounts(accounts: DataFrame) -> DataFrame:

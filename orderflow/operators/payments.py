@@ -25,14 +25,17 @@ def join_orders_with_transactions(orders: DataFrame, transactions: DataFrame) ->
     row, and the optimizer drops the join where both columns go unused.
 
     A NULL or repeated order id may fill a large part of the orders, so the join
-    has a second column, a hash. Rows without an id, which match nothing, hash all
-    their columns and so spread over all partitions. Others hash the id only; the
-    equality adds nothing, but the sums must then be shuffled once more for it,
-    and only where both sides come straight from a shuffle does adaptive execution
-    split the oversized partition of a repeated id. The sums are the narrow side,
-    two numbers per order.
+    has a second column, a hash. For rows without an id, which match nothing, it
+    is taken from account and day and deals them out over all partitions. For the
+    others it is taken from the id; that equality adds nothing, but the sums must
+    be shuffled once more for it, and only where both sides come straight from a
+    shuffle does adaptive execution split the oversized partition of a repeated
+    id. The sums are the narrow side, two numbers per order.
     """
-    lane = F.expr("CASE WHEN order_id IS NULL THEN xxhash64(*) ELSE xxhash64(order_id) END")
+    lane = F.expr(
+        "CASE WHEN order_id IS NULL THEN xxhash64(account_id, order_date)"
+        " ELSE xxhash64(order_id) END"
+    )
     paid = payment_summary(transactions).withColumn("_lane", F.xxhash64("order_id"))
     joined = orders.withColumn("_lane", lane).join(paid, ["order_id", "_lane"], "left")
     return joined.withColumns(

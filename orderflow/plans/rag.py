@@ -41,8 +41,8 @@ def classify_rag(
     compared = add_rag_status(
         month_over_month(compare_with_previous_month(orders, target_month)), no_baseline
     )
-    enriched = add_limit_exceeded(enrich_with_account_data(compared, accounts))
-    return apply_validation_rules(enriched, rules)
+    enriched = enrich_with_account_data(compared, accounts, unique_accounts)
+    return apply_validation_rules(add_limit_exceeded(enriched), rules)
 
 
 def rag_tables(

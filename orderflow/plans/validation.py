@@ -38,9 +38,8 @@ def classify_orders(
         accounts = require_unique_accounts(accounts)
     chosen = orders_of_month(orders, target_month)
     totals = calculate_monthly_totals(chosen, with_last_order_date=True)
-    return apply_validation_rules(
-        enrich_with_account_data(totals, accounts), rules, with_violations
-    )
+    enriched = enrich_with_account_data(totals, accounts, unique_accounts)
+    return apply_validation_rules(enriched, rules, with_violations)
 
 
 def validate_orders(

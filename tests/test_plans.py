@@ -175,13 +175,14 @@ def test_shuffles(spark, shop, settings):
     assert _exchanges(of.calculate_monthly_totals(orders)) == 1
     assert _exchanges(of.payment_summary(transactions)) == 1
     # Monthly totals, then both sides by account.
-    every = of.classify_orders(orders, accounts, "ALL", unique_accounts=False)
-    assert _exchanges(every) == 3
+    totals = of.calculate_monthly_totals(orders)
+    assert _exchanges(of.enrich_with_account_data(totals, accounts)) == 3
     # The window's partitioning serves the join with the accounts.
-    every = of.classify_rag(orders, accounts, "ALL", unique_accounts=False)
-    assert _exchanges(every) == 3
+    every = of.compare_with_previous_month(orders, "ALL")
+    assert _exchanges(of.enrich_with_account_data(every, accounts)) == 3
     # One month needs no window: orders by account and accounts by account.
-    single = of.classify_rag(orders, accounts, "2024-03", unique_accounts=False)
+    single = of.compare_with_previous_month(orders, "2024-03")
+    single = of.enrich_with_account_data(single, accounts)
     assert _exchanges(single) == 2
     assert "Window" not in _plan(single)
 
@@ -193,26 +194,52 @@ def test_partial_aggregation_precedes_every_shuffle_of_totals(spark, shop):
         assert plan.index("Exchange") < plan.index("partial_sum")
 
 
+SPLITTING = {
+    "autoBroadcastJoinThreshold": "-1",
+    "adaptive__advisoryPartitionSizeInBytes": "16KB",
+    "adaptive__skewJoin__skewedPartitionThresholdInBytes": "32KB",
+    "adaptive__skewJoin__skewedPartitionFactor": "2",
+    "shuffle__partitions": "16",
+}
+
+
+def _digest(frame):
+    """Number of rows, and a value that needs every column, as a write would."""
+    return frame.agg(F.count("*"), F.sum(F.xxhash64(*frame.columns) % 1000))
+
+
 def test_repeated_order_id_is_split(spark, shop, settings):
     orders, transactions, _ = _load(spark, shop)
     plain = orders.join(of.payment_summary(transactions), "order_id", "left").na.fill(0)
     expected = rows(plain.groupBy("order_id").agg(F.count("*"), F.sum("total_paid")))
-    settings(
-        autoBroadcastJoinThreshold="-1",
-        adaptive__advisoryPartitionSizeInBytes="16KB",
-        adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
-        adaptive__skewJoin__skewedPartitionFactor="2",
-        shuffle__partitions="16",
-    )
+    settings(**SPLITTING)
     joined = of.join_orders_with_transactions(orders, transactions)
-    # Uses every column, as a write would.
-    digest = joined.agg(F.count("*"), F.sum(F.xxhash64(*joined.columns) % 1000))
+    digest = _digest(joined)
     assert digest.collect()[0][0] == orders.count()
     assert "skew=true" in _final_plan(digest)
     actual = joined.groupBy("order_id").agg(F.count("*"), F.sum("total_paid"))
     assert rows(actual) == expected
 
 
+def test_repeated_account_is_split(spark, shop, settings, tmp_path):
+    orders, _, accounts = _load(spark, shop)
+    copies = spark.range(0, 20_000, 1, 8).select(
+        F.lit("A7").alias("account_id"),
+        F.concat(F.lit("Name "), F.xxhash64("id")).alias("customer_name"),
+        F.lit(1).alias("order_limit"),
+    )
+    repeated = accounts.select(copies.columns).union(copies)
+    repeated.write.parquet(f"{tmp_path}/repeated")
+    repeated = spark.read.parquet(f"{tmp_path}/repeated")
+    totals = of.calculate_monthly_totals(orders)
+    expected = _digest(of.enrich_with_account_data(totals, repeated)).collect()
+    settings(**SPLITTING)
+    digest = _digest(of.enrich_with_account_data(totals, repeated, unique=False))
+    assert digest.collect() == expected
+    assert "skew=true" in _final_plan(digest)
+    assert "ReusedExchange" in _final_plan(digest)
+
+
 def test_rows_without_order_id_are_dealt_out(spark, shop, settings):
     settings(
         autoBroadcastJoinThreshold="-1",
