@@ -50,7 +50,7 @@ from orderflow.plans.reports import (  # noqa: E402
 )
 from orderflow.plans.validation import classify_orders, validate_orders  # noqa: E402
 from orderflow.sources.catalog import register_views  # noqa: E402
-from orderflow.sources.retail import RetailTables, retail_tables  # noqa: E402
+from orderflow.sources.retail import RetailTables  # noqa: E402
 
 SMALL_TABLES = "/root/testdata/sf0.001"
 TARGET_MONTH = "1998-05"
@@ -84,7 +84,7 @@ def _comparable(table: DataFrame) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Valid account-months of one month at the smallest scale."""
-    tables = retail_tables(spark, SMALL_TABLES)
+    tables = RetailTables(spark, SMALL_TABLES)
     orders = join_orders_with_transactions(
         valid_orders(tables.orders), successful_transactions(tables.transactions)
     )
@@ -155,12 +155,11 @@ def _limit_exceeded(t: RetailTables) -> DataFrame:
 
 
 def _sql_views(t: RetailTables) -> DataFrame:
-    spark = t.orders.sparkSession
     inputs = {"accounts": t.accounts, "orders": t.orders, "transactions": t.transactions}
     for name, table in inputs.items():
         table.createOrReplaceTempView(f"retail_{name}")
-    register_views(spark, **{name: f"retail_{name}" for name in inputs})
-    return spark.sql(f"SELECT {', '.join(CLASSIFIED)} FROM validated_orders ORDER BY account_id")
+    register_views(t.spark, **{name: f"retail_{name}" for name in inputs})
+    return t.spark.sql(f"SELECT {', '.join(CLASSIFIED)} FROM validated_orders ORDER BY account_id")
 
 
 _QUERIES: dict[str, Callable[[RetailTables], DataFrame]] = {
@@ -220,7 +219,7 @@ _QUERIES: dict[str, Callable[[RetailTables], DataFrame]] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_tables(query):
-        return lambda spark, sf_dir: _comparable(query(retail_tables(spark, sf_dir)))
+        return lambda spark, sf_dir: _comparable(query(RetailTables(spark, sf_dir)))
 
     return {name: over_tables(query) for name, query in _QUERIES.items()}
 

@@ -11,27 +11,31 @@ AMBER_FROM = 30
 EXCEEDED, NOT_EXCEEDED = "YES", "NO"
 
 
-def percentage_change(current: Column, previous: Column) -> Column:
+def percentage_change(current: str, previous: str) -> Column:
     """Change in percent of the previous total, NULL without a positive one."""
-    change = (current - previous).cast("double")
-    return F.when(previous > 0, change / previous.cast("double") * 100)
+    return F.expr(
+        f"CASE WHEN {previous} > 0 THEN"
+        f" CAST({current} - {previous} AS DOUBLE) / CAST({previous} AS DOUBLE) * 100 END"
+    )
 
 
-def rag_status(current: Column, previous: Column, no_baseline: str = "GREEN") -> Column:
+def rag_status(current: str, previous: str, no_baseline: str = "GREEN") -> Column:
     """RED, AMBER or GREEN by the increase; ``no_baseline`` where there is no change to judge.
 
     Compares products instead of a quotient, so that DECIMAL totals exactly on a
     threshold are not moved across it by rounding.
     """
-    scaled_change = (current - previous) * 100
-    return (
-        F.when(~F.coalesce(previous > 0, F.lit(False)) | current.isNull(), no_baseline)
-        .when(scaled_change >= previous * RED_FROM, "RED")
-        .when(scaled_change >= previous * AMBER_FROM, "AMBER")
-        .otherwise("GREEN")
+    if not no_baseline.isidentifier():
+        raise ValueError(f"not a status: {no_baseline!r}")
+    scaled_change = f"({current} - {previous}) * 100"
+    return F.expr(
+        f"CASE WHEN coalesce({previous} <= 0, true) OR {current} IS NULL THEN '{no_baseline}'"
+        f" WHEN {scaled_change} >= {previous} * {RED_FROM} THEN 'RED'"
+        f" WHEN {scaled_change} >= {previous} * {AMBER_FROM} THEN 'AMBER'"
+        " ELSE 'GREEN' END"
     )
 
 
-def limit_exceeded(order_count: Column, order_limit: Column) -> Column:
+def limit_exceeded(order_count: str, order_limit: str) -> Column:
     """Whether there are more orders than the limit allows; an unknown limit is not exceeded."""
-    return F.when(order_count > order_limit, EXCEEDED).otherwise(NOT_EXCEEDED)
+    return F.expr(f"IF({order_count} > {order_limit}, '{EXCEEDED}', '{NOT_EXCEEDED}')")

@@ -43,9 +43,9 @@ def month_of(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
-def in_month_range(day: Column, first: date, last: date) -> Column:
+def in_month_range(day: str, first: date, last: date) -> Column:
     """Whether a day lies in the months ``first`` to ``last``, both included."""
-    return (day >= F.lit(first)) & (day < F.lit(next_month(last)))
+    return F.expr(f"{day} >= DATE '{first}' AND {day} < DATE '{next_month(last)}'")
 
 
 def from_month_on(day: Column, first: Column) -> Column:

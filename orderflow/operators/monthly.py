@@ -36,7 +36,7 @@ def orders_of_month(orders: DataFrame, target_month: str | date | None = None) -
         return orders
     if target_month:
         month = parse_month(target_month)
-        return orders.where(in_month_range(F.col("order_date"), month, month))
+        return orders.where(in_month_range("order_date", month, month))
     latest = latest_month(orders).scalar()
     return orders.where(from_month_on(F.col("order_date"), latest))
 

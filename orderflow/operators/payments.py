@@ -51,11 +51,12 @@ def payment_reconciliation(orders_with_payments: DataFrame) -> DataFrame:
 
     NULL where there are payments but the amount is unknown. Exact for DECIMAL money.
     """
-    paid, due = F.col("total_paid"), F.col("total_amount")
     return orders_with_payments.withColumn(
         "payment_status",
-        F.when(F.col("transaction_count") == 0, "NO_PAYMENT")
-        .when(paid < due, "UNDERPAID")
-        .when(paid == due, "EXACT")
-        .when(paid > due, "OVERPAID"),
+        F.expr(
+            "CASE WHEN transaction_count = 0 THEN 'NO_PAYMENT'"
+            " WHEN total_paid < total_amount THEN 'UNDERPAID'"
+            " WHEN total_paid = total_amount THEN 'EXACT'"
+            " WHEN total_paid > total_amount THEN 'OVERPAID' END"
+        ),
     )

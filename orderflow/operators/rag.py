@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderflow.functions import change
 from orderflow.functions.months import (
@@ -21,9 +22,9 @@ from orderflow.operators.validation import hold_timestamp
 from orderflow.schemas import RAG_HOLDING, RAG_RESULT
 
 
-def _baseline(total: Column) -> Column:
+def _baseline(total: str) -> Column:
     """Previous total of a known account, zero where there is none."""
-    return F.when(F.col("account_id").isNotNull(), F.coalesce(total, F.lit(0))).otherwise(F.lit(0))
+    return F.expr(f"CASE WHEN account_id IS NOT NULL THEN coalesce({total}, 0) ELSE 0 END")
 
 
 def previous_month_totals(monthly_totals: DataFrame) -> DataFrame:
@@ -34,12 +35,16 @@ def previous_month_totals(monthly_totals: DataFrame) -> DataFrame:
     window of even the busiest account is as short as the calendar.
     """
     by_month = Window.partitionBy("account_id").orderBy("order_month")
-    before = F.lag("order_month").over(by_month)
-    total_before = F.lag("monthly_total").over(by_month)
-    adjacent = before.cast("date") == F.add_months(F.col("order_month").cast("date"), -1)
-    return monthly_totals.withColumn(
-        "previous_month_total", _baseline(F.when(adjacent, total_before))
+    lagged = monthly_totals.withColumns(
+        {
+            "_month_before": F.lag("order_month").over(by_month),
+            "_total_before": F.lag("monthly_total").over(by_month),
+        }
     )
+    adjacent = "CAST(_month_before AS DATE) = add_months(CAST(order_month AS DATE), -1)"
+    return lagged.withColumn(
+        "previous_month_total", _baseline(f"CASE WHEN {adjacent} THEN _total_before END")
+    ).drop("_month_before", "_total_before")
 
 
 def compare_with_previous_month(
@@ -53,31 +58,31 @@ def compare_with_previous_month(
     """
     if target_month == ALL_MONTHS:
         return previous_month_totals(calculate_monthly_totals(orders, with_last_order_date=True))
-    day = F.col("order_date")
     if target_month:
         first = parse_month(target_month)
         month = F.lit(first)
-        pair = orders.where(in_month_range(day, previous_month(first), first))
+        pair = orders.where(in_month_range("order_date", previous_month(first), first))
+        is_current = F.expr(f"order_date >= DATE '{first}'")
     else:
+        day = F.col("order_date")
         before = latest_month(orders).select(F.add_months("order_month", -1)).scalar()
         month = F.add_months(before, 1)
         pair = orders.where(from_month_on(day, before))
+        is_current = month_of(day).eqNullSafe(month)
 
-    is_current = F.col("_current")
-
-    def current(column: str) -> Column:
-        return F.when(is_current, F.col(column))
+    def current(column: str) -> str:
+        return f"CASE WHEN _current THEN {column} END"
 
     totals = (
-        pair.withColumn("_current", month_of(day).eqNullSafe(month))
+        pair.withColumn("_current", is_current)
         .groupBy("account_id")
         .agg(
-            F.sum(current("total_amount")).alias("monthly_total"),
-            F.count(current("order_id")).alias("order_count"),
-            F.sum(current("product_count")).alias("total_products"),
-            F.max(current("order_date")).alias("last_order_date"),
-            F.sum(F.when(~is_current, F.col("total_amount"))).alias("_before"),
-            F.max("_current").alias("_has_current"),
+            F.expr(f"sum({current('total_amount')}) AS monthly_total"),
+            F.expr(f"count({current('order_id')}) AS order_count"),
+            F.expr(f"sum({current('product_count')}) AS total_products"),
+            F.expr(f"max({current('order_date')}) AS last_order_date"),
+            F.expr("sum(CASE WHEN NOT _current THEN total_amount END) AS _total_before"),
+            F.expr("max(_current) AS _has_current"),
         )
         .where("_has_current")
     )
@@ -88,7 +93,7 @@ def compare_with_previous_month(
         "order_count",
         "total_products",
         "last_order_date",
-        _baseline(F.col("_before")).alias("previous_month_total"),
+        _baseline("_total_before").alias("previous_month_total"),
     )
 
 
@@ -96,7 +101,7 @@ def month_over_month(compared: DataFrame) -> DataFrame:
     """Add ``percentage_change`` against the previous month."""
     return compared.withColumn(
         "percentage_change",
-        change.percentage_change(F.col("monthly_total"), F.col("previous_month_total")),
+        change.percentage_change("monthly_total", "previous_month_total"),
     )
 
 
@@ -104,35 +109,35 @@ def add_rag_status(compared: DataFrame, no_baseline: str = "GREEN") -> DataFrame
     """Add ``rag_status``."""
     return compared.withColumn(
         "rag_status",
-        change.rag_status(F.col("monthly_total"), F.col("previous_month_total"), no_baseline),
+        change.rag_status("monthly_total", "previous_month_total", no_baseline),
     )
 
 
 def add_limit_exceeded(enriched: DataFrame) -> DataFrame:
     """Add ``limit_exceeded``, whatever the RAG status."""
     return enriched.withColumn(
-        "limit_exceeded", change.limit_exceeded(F.col("order_count"), F.col("order_limit"))
+        "limit_exceeded", change.limit_exceeded("order_count", "order_limit")
     )
 
 
-def _rag_columns(schema, with_month: bool) -> list[Column]:
+def _rag_columns(schema: StructType, with_month: bool) -> list[str]:
     """The declared columns in their declared types, except for the key.
 
     A key keeps the type it has in the data.
     """
     source = {"current_month_total": "monthly_total"}
-    columns = [F.col("order_month")] if with_month else []
+    columns = ["order_month"] if with_month else []
     for field in schema:
-        column = F.col(source.get(field.name, field.name))
+        column = source.get(field.name, field.name)
         if field.name != "account_id":
-            column = column.cast(field.dataType)
-        columns.append(column.alias(field.name))
+            column = f"CAST({column} AS {field.dataType.simpleString()})"
+        columns.append(f"{column} AS {field.name}")
     return columns
 
 
 def rag_result(classified: DataFrame, with_month: bool = False) -> DataFrame:
     """Valid rows in the declared result columns, with the month first if asked for."""
-    return classified.where(~F.col("validation_failed")).select(
+    return classified.where("NOT validation_failed").selectExpr(
         *_rag_columns(RAG_RESULT, with_month)
     )
 
@@ -141,6 +146,6 @@ def rag_holding(
     classified: DataFrame, as_of: datetime | None = None, with_month: bool = False
 ) -> DataFrame:
     """Held rows in the declared holding columns, with the month first if asked for."""
-    held = classified.where(F.col("validation_failed"))
+    held = classified.where("validation_failed")
     held = held.withColumn("hold_timestamp", hold_timestamp(as_of))
-    return held.select(*_rag_columns(RAG_HOLDING, with_month))
+    return held.selectExpr(*_rag_columns(RAG_HOLDING, with_month))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed points and bands.
@@ -14,10 +14,6 @@ HIGH_RISK_FROM = 50
 MEDIUM_RISK_FROM = 25
 
 
-def _points(condition: Column, points: int) -> Column:
-    return F.when(condition, F.lit(points)).otherwise(F.lit(0))
-
-
 def calculate_customer_risk_score(
     classified: DataFrame,
     large_total: float = LARGE_TOTAL,
@@ -30,19 +26,19 @@ def calculate_customer_risk_score(
     ``apply_validation_rules``. Only then can a row reach HIGH_RISK by the default
     rules. An unknown limit or total gives no points.
     """
-    if per_failure:
-        failures = F.size("violations") * F.lit(FAILURE_POINTS)
-    else:
-        failures = _points(F.col("validation_failed"), FAILURE_POINTS)
-    score = (
-        _points(F.col("order_count") > F.col("order_limit"), OVER_LIMIT_POINTS)
-        + _points(F.col("monthly_total") > F.lit(large_total), LARGE_TOTAL_POINTS)
-        + failures
+    failures = "size(violations)" if per_failure else "IF(validation_failed, 1, 0)"
+    scored = classified.withColumn(
+        "risk_score",
+        F.expr(
+            f"IF(order_count > order_limit, {OVER_LIMIT_POINTS}, 0)"
+            f" + IF(monthly_total > {large_total}, {LARGE_TOTAL_POINTS}, 0)"
+            f" + {FAILURE_POINTS} * {failures}"
+        ),
     )
-    scored = classified.withColumn("risk_score", score)
     return scored.withColumn(
         "risk_category",
-        F.when(F.col("risk_score") >= HIGH_RISK_FROM, "HIGH_RISK")
-        .when(F.col("risk_score") >= MEDIUM_RISK_FROM, "MEDIUM_RISK")
-        .otherwise("LOW_RISK"),
+        F.expr(
+            f"CASE WHEN risk_score >= {HIGH_RISK_FROM} THEN 'HIGH_RISK'"
+            f" WHEN risk_score >= {MEDIUM_RISK_FROM} THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END"
+        ),
     )

@@ -30,8 +30,8 @@ def apply_validation_rules(
 
     ``with_violations`` also adds the array ``violations`` of all broken rules.
     """
-    columns = {"hold_reason": first_broken_rule(rules)}
-    columns["validation_failed"] = columns["hold_reason"].isNotNull()
+    reason = first_broken_rule(rules)
+    columns = {"hold_reason": reason, "validation_failed": reason.isNotNull()}
     if with_violations:
         columns["violations"] = all_broken_rules(rules)
     return enriched.withColumns(columns)
@@ -44,11 +44,11 @@ def hold_timestamp(as_of: datetime | None = None) -> Column:
 
 
 def result_rows(classified: DataFrame) -> DataFrame:
-    return classified.where(~F.col("validation_failed")).select(*RESULT_COLUMNS)
+    return classified.where("NOT validation_failed").select(*RESULT_COLUMNS)
 
 
 def holding_rows(classified: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    held = classified.where(F.col("validation_failed"))
+    held = classified.where("validation_failed")
     return held.select(*RESULT_COLUMNS, "hold_reason", hold_timestamp(as_of))
 
 

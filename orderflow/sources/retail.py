@@ -7,7 +7,7 @@ something to hold.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,13 +24,6 @@ LINEITEM = (
 )
 
 
-@dataclass(frozen=True)
-class RetailTables:
-    accounts: DataFrame
-    orders: DataFrame
-    transactions: DataFrame
-
-
 def accounts_of(customer: DataFrame) -> DataFrame:
     """Customers as accounts; some are left out, some lack a name or a limit."""
     return customer.where("c_custkey % 50 <> 7").selectExpr(
@@ -67,14 +60,24 @@ def transactions_of(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def retail_tables(spark: SparkSession, directory: str) -> RetailTables:
-    """The three inputs from the Parquet files of a directory."""
+class RetailTables:
+    """The three inputs from the Parquet files of a directory, opened on first use."""
+
+    def __init__(self, spark: SparkSession, directory: str):
+        self.spark = spark
+        self.directory = directory
 
-    def read(name: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{directory}/{name}.parquet")
+    def _read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.directory}/{name}.parquet")
 
-    return RetailTables(
-        accounts_of(read("customer", CUSTOMER)),
-        orders_of(read("orders", ORDERS)),
-        transactions_of(read("lineitem", LINEITEM)),
-    )
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return accounts_of(self._read("customer", CUSTOMER))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return orders_of(self._read("orders", ORDERS))
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return transactions_of(self._read("lineitem", LINEITEM))
