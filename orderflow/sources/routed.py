@@ -24,7 +24,8 @@ def write_routed(
 ) -> None:
     """Write a classified table in one pass, partitioned into ``route=result`` and ``route=holding``.
 
-    Both outputs come from a single computation of the table. ``by_month`` adds an
+    Both outputs come from a single computation of the table. ``columns`` are those
+    of the result; a RAG table names its own. ``by_month`` adds an
     outer level of months; rows are then gathered per month and route before the
     write, in partitions of even size, so that a month is neither scattered over
     thousands of files nor written by one task. ``mode="overwrite"`` replaces the
@@ -32,16 +33,16 @@ def write_routed(
     leave the held rows of a run behind when the next one holds none.
     """
     failed = F.col("validation_failed")
+    month = F.col("order_month").cast("date").alias("month")
+    levels = ["month", "route"] if by_month else ["route"]
     routed = classified.select(
         *columns,
         "hold_reason",
         F.when(failed, hold_timestamp(as_of)).alias("hold_timestamp"),
         F.when(failed, HOLDING).otherwise(RESULT).alias("route"),
+        *([month] if by_month else []),
     )
-    levels = ["route"]
     if by_month:
-        levels = ["month", "route"]
-        routed = routed.withColumn("month", F.col("order_month").cast("date"))
         routed = routed.hint("rebalance", *levels)
     writer = routed.write.mode(mode).option("partitionOverwriteMode", "static")
     writer.partitionBy(*levels).parquet(path)

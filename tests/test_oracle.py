@@ -64,3 +64,30 @@ def test_query_matches_sql(spark, oracle, name):
 def test_entry(spark):
     rows = registered.entry(spark).collect()
     assert len(rows) == 15
+
+
+# Counts computed beforehand, independently of the queries and of their SQL.
+REASONS = {
+    None: 6545,
+    "MISSING_ORDER_LIMIT": 1656,
+    "MISSING_CUSTOMER_NAME": 924,
+    "NEGATIVE_AMOUNT": 203,
+    "INVALID_ORDER_COUNT": 76,
+    "MISSING_ACCOUNT_ID": 57,
+}
+RISK_SCORES = {0: 117, 10: 271, 15: 6334, 25: 2634, 30: 4, 35: 94, 45: 7}
+PAYMENTS = {"NO_PAYMENT": 2698, "UNDERPAID": 5656, "OVERPAID": 1558}
+
+
+@pytest.mark.skipif(not DIRECTORY.endswith("sf0.01"), reason="counts of another scale")
+@pytest.mark.parametrize(
+    "name, column, counts",
+    [
+        ("validated_all_months", "hold_reason", REASONS),
+        ("customer_risk_score", "risk_score", RISK_SCORES),
+        ("payment_reconciliation", "payment_status", PAYMENTS),
+    ],
+)
+def test_known_counts(spark, name, column, counts):
+    grouped = registered.queries()[name](spark, DIRECTORY).groupBy(column).count()
+    assert {row[column]: row["count"] for row in grouped.collect()} == counts

@@ -151,6 +151,31 @@ def test_routed_table_round_trip(spark, files, tmp_path, by_month):
     assert of.read_routed(spark, path).holding_table.count() == 0
 
 
+def test_routed_rag_table(spark, files, tmp_path):
+    classified = of.classify_rag(
+        of.load_orders(spark, files["orders_path"]), of.load_accounts(spark, files["accounts_path"])
+    )
+    path = str(tmp_path / "rag")
+    columns = ["account_id", "previous_month_total", "rag_status", "limit_exceeded"]
+    of.write_routed(classified, path, columns=columns, by_month=True)
+    written = of.read_routed(spark, path)
+    assert rows(written.result_table) == [("A1", 100.10, "RED", "YES")]
+    assert rows(written.holding_table, "account_id", "rag_status", "hold_reason") == [
+        ("A2", "GREEN", "MISSING_CUSTOMER_NAME"),
+        ("A3", "GREEN", "MISSING_ORDER_LIMIT"),
+    ]
+
+
+def test_each_route_reads_only_its_partitions(spark, files, tmp_path):
+    classified = of.classify_orders(
+        of.load_orders(spark, files["orders_path"]), of.load_accounts(spark, files["accounts_path"])
+    )
+    of.write_routed(classified, str(tmp_path / "routed"))
+    held = of.read_routed(spark, str(tmp_path / "routed")).holding_table
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "(route#" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+
+
 def test_views_over_catalog_tables(spark, files):
     for name, schema in (("accounts", ACCOUNTS), ("orders", ORDERS), ("transactions", TRANSACTIONS)):
         frame = read_table(spark, files[f"{name}_path"], schema)
