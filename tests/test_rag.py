@@ -159,3 +159,16 @@ def test_repeated_account_fails_unless_allowed(spark):
     with pytest.raises(Exception, match="account listed more than once"):
         of.rag_tables(sold, twice).result_table.collect()
     assert of.rag_tables(sold, twice, unique_accounts=False).result_table.count() == 2
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Los_Angeles"])
+def test_months_do_not_depend_on_the_time_zone(spark, zone):
+    expected = of.rag_tables(*_shop(spark), "ALL").result_table
+    expected = rows(expected.withColumn("order_month", expected.order_month.cast("string")))
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        actual = of.rag_tables(*_shop(spark), "ALL").result_table
+        assert rows(actual.withColumn("order_month", actual.order_month.cast("string"))) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
