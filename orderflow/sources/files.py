@@ -13,10 +13,9 @@ CORRUPT_RECORD = "_corrupt_record"
 
 
 def _format_of(path: str) -> str:
-    for suffix in ("json", "parquet"):
-        if path.rstrip("/").endswith(f".{suffix}"):
-            return suffix
-    return "csv"
+    # Also finds the suffix in front of one for compression.
+    suffixes = path.rstrip("/").rsplit("/", 1)[-1].split(".")[1:]
+    return next((name for name in ("json", "parquet") if name in suffixes), "csv")
 
 
 def read_table(

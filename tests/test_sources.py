@@ -7,7 +7,7 @@ import pytest
 
 import orderflow as of
 from orderflow.schemas import ACCOUNTS, HOLDING_COLUMNS, ORDERS, RESULT_COLUMNS, TRANSACTIONS
-from orderflow.sources.files import read_table
+from orderflow.sources.files import _format_of, read_table
 from tests.frames import rows
 
 ACCOUNT_LINES = """account_id,customer_name,order_limit,created_date,status
@@ -73,6 +73,21 @@ def test_unreadable_records_can_be_kept(spark, files):
     assert "_corrupt_record" not in ACCOUNTS.names
 
 
+@pytest.mark.parametrize(
+    "path, format",
+    [
+        ("/a/orders.csv", "csv"),
+        ("/a.json/orders", "csv"),
+        ("/a/orders.json.gz", "json"),
+        ("/a/*.json", "json"),
+        ("/a/orders.parquet/", "parquet"),
+        ("orders.snappy.parquet", "parquet"),
+    ],
+)
+def test_format_of_a_path(path, format):
+    assert _format_of(path) == format
+
+
 def test_header_in_another_order_is_an_error(spark, tmp_path):
     path = tmp_path / "accounts.csv"
     path.write_text("customer_name,account_id,order_limit,created_date,status\nAnn,A1,1,,\n")
