@@ -52,6 +52,20 @@ from orderflow.plans.validation import classify_orders, validate_orders  # noqa:
 from orderflow.sources.catalog import register_views  # noqa: E402
 from orderflow.sources.retail import RetailTables  # noqa: E402
 
+try:
+    from orderflow.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("orderflow.llm"):
+        raise
+    llm = None
+
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "orderflow.llm")):
+        raise
+    corpus_pipeline = None
+
 SMALL_TABLES = "/root/testdata/sf0.001"
 TARGET_MONTH = "1998-05"
 STALE_AS_OF = date(2000, 7, 1)
@@ -221,7 +235,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_tables(query):
         return lambda spark, sf_dir: _comparable(query(RetailTables(spark, sf_dir)))
 
-    return {name: over_tables(query) for name, query in _QUERIES.items()}
+    found = {name: over_tables(query) for name, query in _QUERIES.items()}
+    if llm:
+        found |= llm.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 MAPPING = """
@@ -406,4 +425,9 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_accounts": """SELECT account_id, COUNT(*) AS account_rows FROM repeated
             GROUP BY account_id HAVING COUNT(*) > 1""",
     }
-    return {name: MAPPING + body for name, body in bodies.items()}
+    found = {name: MAPPING + body for name, body in bodies.items()}
+    if llm:
+        found |= llm.ORACLES
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
