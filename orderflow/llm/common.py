@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 WHITE = " \t\n\x0b\x0c\r"
 """The white space between words; ``bytes.split()`` splits at the same characters."""
@@ -61,5 +65,54 @@ def slices(texts: DataFrame, key: Column, sample: int) -> DataFrame:
     rows = texts.count()
     if rows <= sample:
         return texts
-    limit = int(2**31 * (sample / rows))
-    return texts.where((F.xxhash64(key.cast("string")) & (2**31 - 1)) < limit)
+    parts = 2**31 - 1
+    return texts.where(F.pmod(F.xxhash64(key.cast("string")), parts) < int(parts * sample / rows))
+
+
+def with_columns(
+    table: DataFrame,
+    inputs: list[str],
+    schema: str,
+    start: Callable[[], Callable[..., list[list]]],
+) -> DataFrame:
+    """The table's rows with more columns, worked out in Arrow batches.
+
+    ``start`` runs once in each task; what it gives takes the lists of the input columns
+    and returns one list for each new column. A new column replaces one of its name.
+    """
+    small_batches(table.sparkSession)
+    added = StructType.fromDDL(schema)
+    names = [c for c in table.columns if c not in added.names]
+    reads = [c for c in inputs if c not in names]
+    rows = table.select(*names, *(F.col(c).alias(f"_read_{c}") for c in reads))
+    at = [rows.columns.index(c if c in names else f"_read_{c}") for c in inputs]
+    kinds = to_arrow_schema(added)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            found = work(*(batch.column(i).to_pylist() for i in at))
+            arrays = [pa.array(x, f.type, from_pandas=False) for x, f in zip(found, kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(names)], *arrays], names=[*names, *added.names]
+            )
+
+    kept = rows.select(*names).schema.fields
+    return rows.mapInArrow(run, StructType([*kept, *added.fields]))
+
+
+def labelled(
+    documents: DataFrame, labels: DataFrame, label: str, sample: int, fold: int | None = 0
+) -> DataFrame:
+    """``doc_id, text, label`` of at most about ``sample`` labelled documents outside the fold.
+
+    A label given twice counts at its larger value; a document found twice gives one row.
+    The sample is bounded, so its ids are broadcast.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    if fold is not None:
+        known = known.where(remainder(F.col("doc_id")) != fold)
+    known = known.groupBy("doc_id").agg(F.max(label).alias("label"))
+    known = slices(known, F.col("doc_id"), sample)
+    rows = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe
-from orderflow.llm.common import read
+from orderflow.llm import bpe, quality, toxicity
+from orderflow.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +35,32 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, read(spark, sf_dir, "documents"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    machine = toxicity.fit(documents, read(spark, sf_dir, "labels"))
+    scored = toxicity.scored(documents.select("doc_id", "text"), machine)
+    return scored.select(
+        "doc_id",
+        (remainder(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        "toxic_word",
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    trees = quality.fit(documents, read(spark, sf_dir, "labels"))
+    scored = quality.scored(documents.select("doc_id", "text"), trees)
+    return scored.select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", F.col("quality_score").alias("score")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op7_bpe": op7_bpe,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,89 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from orderflow.llm import boosting, quality
+from orderflow.llm.queries import op10_quality
+
+TEXTS = [
+    None, "", "   ", "one", "a b c d e a b c d e", "x\ny\nx\n\n \nx", "#*$ %&| <>", "ä ö ü ß",
+    "a b c d e f g h i j k l m n o p", "x " * 5000, "\t".join(f"w{n % 3000}" for n in range(9000)),
+]
+
+
+def plain(text):
+    """The counts as the contract words them, one after the other."""
+    text = text or ""
+    words, word = [], ""
+    for c in text + " ":
+        if c in " \t\n\x0b\x0c\r":
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    inside = {
+        i + k
+        for i in range(len(words) - 4)
+        if windows[tuple(words[i : i + 5])] > 1
+        for k in range(5)
+    }
+    repeats = sum(1 for i, x in enumerate(lines) if x in lines[:i])
+    return [
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), repeats, len(inside),
+    ]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_counts(text):
+    assert quality.statistics(text)[0] == plain(text)
+
+
+def test_trees_learn_and_stay_monotonic():
+    random = np.random.default_rng(1)
+    x = random.random((3000, 3))
+    y = ((x[:, 0] > 0.5) ^ (random.random(3000) < 0.1)).astype(float)
+    y[x[:, 1] > 0.8] = random.random((x[:, 1] > 0.8).sum()) < 0.5
+    trees = boosting.fit(x, y, {0: 1, 1: -1})
+    assert ((trees.probabilities(x) > 0.5) == (y > 0.5)).mean() > 0.8
+    grid = np.repeat(random.random((50, 1, 3)), 40, axis=1)
+    for feature, sign in ((0, 1), (1, -1)):
+        rows = grid.copy()
+        rows[:, :, feature] = np.linspace(0, 1, 40)
+        scores = trees.margins(rows.reshape(-1, 3)).reshape(50, 40)
+        assert (sign * np.diff(scores, axis=1) >= -1e-9).all()
+
+
+@pytest.mark.parametrize("y", [[], [1, 1], [0, 0, 0]])
+def test_trees_of_one_label(y):
+    trees = boosting.fit(np.zeros((len(y), 2)), np.array(y, float))
+    assert trees.probabilities(np.zeros((2, 2))).shape == (2,)
+
+
+def test_query(spark, tables_dir):
+    rows = op10_quality(spark, tables_dir)
+    labels = spark.read.parquet(f"{tables_dir}/labels.parquet")
+    texts = spark.read.parquet(f"{tables_dir}/documents.parquet")
+    found = rows.join(texts.select("doc_id", "text"), "doc_id").join(labels, "doc_id", "left")
+    right = total = 0
+    for r in found.collect():
+        counts = plain(r.text)
+        assert [r[c] for c in quality.COUNTS] == counts
+        assert r.base_failed == (counts[0] < 10 or 100 * counts[4] > 20 * counts[0])
+        assert not (r.kept and r.base_failed)
+        if r.quality is not None and not r.base_failed:
+            right += r.kept == (r.quality == 1)
+            total += 1
+    assert right / total > 0.9
+
+
+def test_odd_rows(spark):
+    rows = [(n, t, "x", True) for n, t in enumerate(TEXTS)] + [(None, "a", None, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, features string, kept boolean")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    trees = quality.fit(documents, labels)
+    assert quality.scored(documents, trees).count() == len(rows)
+    empty = documents.where("false")
+    assert quality.scored(empty, quality.fit(empty, labels)).collect() == []
