@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, quality, toxicity
+from orderflow.llm import bpe, quality, sharding, toxicity
 from orderflow.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,19 @@ def token_digests(spark: SparkSession, documents: DataFrame) -> DataFrame:
     )
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.sharded(read(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, read(spark, sf_dir, "documents"))
 
@@ -59,6 +72,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_sharding": op2_sharding,
     "op7_bpe": op7_bpe,
     "op10_quality": op10_quality,
 }
