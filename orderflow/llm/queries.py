@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, quality, sharding, toxicity
+from orderflow.llm import bpe, licenses, quality, sharding, toxicity, urls
 from orderflow.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,15 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return urls.judged(pages, urls.fit(pages))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, read(spark, sf_dir, "documents"))
 
@@ -73,6 +82,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
+    "op5_urls": op5_urls,
+    "op6_licenses": op6_licenses,
     "op7_bpe": op7_bpe,
     "op10_quality": op10_quality,
 }

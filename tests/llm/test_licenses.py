@@ -1,0 +1,104 @@
+import re
+
+import pytest
+
+from orderflow.llm import licenses
+from orderflow.llm.license_rules import rules
+from orderflow.llm.queries import op6_licenses
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+TEXTS = [
+    None, "", "...", "Released under the MIT License.", "cc by nc cc by nc", "CC-BY-NC cc by ncx",
+    "under the mit\nlicense; Under The MIT licenſe", "apache license, VERSION 2.0 apache license version 22",
+    "xunder the mit license", "mİt license under the mİt license", "K cc by nc" + " word" * 20000,
+    "cc by nc " * 3 + "under the mit license apache license version 2", "é cc\x00by\x7fnc é",
+]
+
+
+def plain(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(low)
+    places, labels = [], set()
+    for phrase, label in licenses.PHRASES.items():
+        parts = phrase.split()
+        found = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
+        places += found
+        labels |= {label} if found else set()
+    return (
+        len(words), len(places), min(places, default=None), max(places, default=None),
+        ",".join(sorted(labels)),
+    )
+
+
+def check(rows, texts):
+    assert len(rows) == len(texts)
+    for r in rows:
+        found = (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)
+        assert found == plain(texts[r.doc_id]), texts[r.doc_id][:80]
+        labels = [x for x in r.labels.split(",") if x]
+        assert labels == sorted(set(labels)) and set(r.base_labels.split(",")) - {""} <= set(labels)
+        assert 0 <= r.score <= 1
+
+
+def test_query(spark, tables_dir):
+    documents = spark.read.parquet(f"{tables_dir}/documents.parquet").collect()
+    check(op6_licenses(spark, tables_dir).collect(), {r.doc_id: r.text for r in documents})
+
+
+def test_odd_texts(spark):
+    rows = [(n, t, 1, "x") for n, t in enumerate(TEXTS)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, n_words int, labels string")
+    check(licenses.scanned(documents).collect(), dict(enumerate(TEXTS)))
+    assert licenses.scanned(documents.where("false")).collect() == []
+
+
+def resolved(text):
+    """The labels of places that lie in no other, tried pair by pair."""
+    low, found = text.lower(), []
+    if not any(g in low for g in licenses.GATES):
+        return set()
+    for r in rules():
+        if r.keyword in low:
+            found += [(*m.span(), r.priority, r.label) for m in re.finditer(r.pattern, low)]
+    kept = set()
+    for a in found:
+        inside = [
+            b
+            for b in found
+            if b[0] <= a[0] and a[1] <= b[1] and (b[:2] != a[:2] or (-b[2], b[3]) < (-a[2], a[3]))
+        ]
+        if not inside:
+            kept.add(a[3])
+    return kept
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("This work is licensed under the GNU General Public License, version 3.", {"gpl-3"}),
+        ("Licensed under the GNU Lesser General Public License v2.1 or later", {"lgpl-2.1"}),
+        ("SPDX-License-Identifier: BSD-3-Clause", {"bsd-3-clause"}),
+        ("under the BSD license. All rights reserved.", {"all-rights-reserved", "bsd"}),
+        ("Licensed under CC BY-NC 4.0.", {"cc-by-nc"}),
+        ("Licensed under CC BY-NC-SA 4.0, cc-by-sa and cc by", {"cc-by-nc-sa", "cc-by-sa", "cc-by"}),
+        ("Das ist mit Absicht so.", set()),
+        ("MIT License, MIT License and the Mozilla Public License 2.0", {"mit", "mpl-2"}),
+    ],
+)
+def test_rules(spark, text, labels):
+    documents = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = licenses.scanned(documents).first()
+    own = set(row.labels.split(",")) - {""}
+    assert labels | set(filter(None, row.base_labels.split(","))) == own
+    assert resolved(text) | set(filter(None, row.base_labels.split(","))) == own
+
+
+def test_every_rule_passes_the_gate():
+    assert len(rules()) > 300
+    for rule in rules():
+        assert rule.keyword and re.compile(rule.pattern)
+
+
+def test_plan_has_no_python_and_no_shuffle(spark, tables_dir):
+    plan = op6_licenses(spark, tables_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan and "Arrow" not in plan
