@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, licenses, quality, sharding, toxicity, urls
+from orderflow.llm import bpe, jaccard, licenses, quality, sharding, toxicity, urls
 from orderflow.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     trees = quality.fit(documents, read(spark, sf_dir, "labels"))
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op5_urls": op5_urls,
     "op6_licenses": op6_licenses,
     "op7_bpe": op7_bpe,
+    "op8_jaccard": op8_jaccard,
     "op10_quality": op10_quality,
 }
 
