@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, jaccard, licenses, quality, sharding, toxicity, urls
+from orderflow.llm import bpe, decontamination, jaccard, licenses, quality, sharding, toxicity, urls
 from orderflow.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,12 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.joined(read(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     trees = quality.fit(documents, read(spark, sf_dir, "labels"))
@@ -90,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op6_licenses": op6_licenses,
     "op7_bpe": op7_bpe,
     "op8_jaccard": op8_jaccard,
+    "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
 

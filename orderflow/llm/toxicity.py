@@ -8,8 +8,8 @@ feature space. Single letters that stand apart ("i d i o t") are read as one wor
 
 **Training.** Sentences take the label of their document. Its witness is the word that
 tells its label best: for a toxic document the word whose share among toxic documents
-most exceeds that among others; for a clean one the words that the machine of the round
-before finds worst. Words of clean documents are added by hash. Landmarks are a part of
+most exceeds that among others, also in altered forms (dots, a hyphen, a doubled letter);
+for a clean one the words that the machine of the round before finds worst. Words of clean documents are added by hash. Landmarks are a part of
 these words, K(words, landmarks) K(landmarks, landmarks)^-1/2 are the Nyström features,
 and a linear machine is trained on them by coordinate descent in the dual. A sentence is
 as toxic as its worst word, a document as its worst sentence; Platt's logistic curve turns
@@ -39,12 +39,12 @@ SPAN = 6
 DECAY = 0.6
 CODES = 32
 GAP = 31
-SAMPLE = 12_000
+SAMPLE = 16_000
 """Labelled documents that the machine is trained on, at most."""
 CLEAN_WORDS = 6_000
-LANDMARKS = 192
-ROUNDS = 2
-COST = 1.0
+LANDMARKS = 256
+ROUNDS = 3
+COST = 2.0
 PLACES = 1 << 22
 """Bytes of text that are scored at once."""
 
@@ -191,21 +191,33 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * (evidence - self.middle), -40, 40)))
 
 
+def altered(word: str) -> list[str]:
+    """The word with dots between its letters, with a hyphen, and with a letter twice."""
+    middle = len(word) // 2
+    return [
+        ".".join(word),
+        f"{word[:middle]}-{word[middle:]}",
+        f"{word[:middle]}{word[middle - 1 : middle]}{word[middle:]}",
+    ]
+
+
 def train(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> Machine:
-    """A machine that tells the positive words from the negative ones."""
+    """A machine that tells the positive words, also altered ones, from the negative ones."""
     if not positive:
         return Machine([], np.zeros(0), -1.0, np.zeros(CODES**3, np.float32))
-    words = positive + negative
+    variants = [v for word in positive for v in altered(word) if len(word) > 3]
+    words = positive + variants + negative
     half = landmarks // 2
     chosen = [*range(min(half, len(positive)))]
-    chosen += [len(positive) + n for n in range(min(landmarks - len(chosen), len(negative)))]
+    first = len(positive) + len(variants)
+    chosen += [first + n for n in range(min(landmarks - len(chosen), len(negative)))]
     base = features([words[n] for n in chosen])
     size, vectors = np.linalg.eigh((base @ base.T).astype(float))
     root = vectors / np.sqrt(np.maximum(size, 1e-6)) @ vectors.T
     flat = Words([word.encode("utf-8", "replace") for word in words])
     nystroem = np.stack([flat.values(landmark) for landmark in base], axis=1) @ root
-    y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-    balance = max(1.0, len(negative) / len(positive))
+    y = np.array([1.0] * first + [-1.0] * len(negative))
+    balance = max(1.0, len(negative) / first)
     x = np.hstack((nystroem, np.ones((len(words), 1))))
     found = svm(x, y, np.where(y > 0, COST * balance, COST))
     weights = root @ found[:-1]
