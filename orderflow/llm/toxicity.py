@@ -44,7 +44,7 @@ SAMPLE = 16_000
 CLEAN_WORDS = 6_000
 LANDMARKS = 256
 ROUNDS = 3
-COST = 2.0
+COST = 5.0
 PLACES = 1 << 22
 """Bytes of text that are scored at once."""
 
@@ -230,8 +230,8 @@ def platt(evidence: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     goal = np.where(y > 0, 1 - 1e-3, 1e-3)
     for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(a * evidence + b, -40, 40)))
-        v = p * (1 - p) + 1e-6
-        g = np.array([((p - goal) * evidence).sum() + 1e-3 * a, (p - goal).sum() + 1e-3 * b])
+        v, error = p * (1 - p) + 1e-6, p - goal
+        g = np.array([(error * evidence).sum() + 1e-3 * a, error.sum() + 1e-3 * b])
         h = np.array([[(v * evidence**2).sum() + 1e-3, (v * evidence).sum()]] * 2)
         h[1] = [(v * evidence).sum(), v.sum() + 1e-3]
         step = np.clip(np.linalg.solve(h, g), -1, 1)
