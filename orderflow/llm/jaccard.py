@@ -27,6 +27,7 @@ smallest id. Shingles are compared by 64-bit hashes. An empty table gives an emp
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from functools import cache
 
 import numpy as np
@@ -69,8 +70,9 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(_HASHES) > REMEMBERED:
         _HASHES.clear()
-    for word in set(words) - _HASHES.keys():
-        _HASHES[word] = xxhash.xxh3_64_intdigest(word)
+    for word in words:
+        if word not in _HASHES:
+            _HASHES[word] = xxhash.xxh3_64_intdigest(word)
     hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     size = min(width, len(words))
     n = len(words) - size + 1
@@ -92,8 +94,13 @@ def size_ranges(percent: int) -> list[tuple[int, int, int]]:
 
 
 def range_of(size: int, percent: int) -> int:
-    lows = [r[0] for r in size_ranges(percent)]
-    return int(np.searchsorted(lows, size, "right")) - 1
+    return bisect_right(size_ranges(percent), size, key=lambda r: r[0]) - 1
+
+
+@cache
+def band_edges(bands: int) -> np.ndarray:
+    """The hashes at which bands after the first begin."""
+    return np.array([n * 2**64 // bands for n in range(1, bands)], np.uint64)
 
 
 def band_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -109,8 +116,7 @@ def band_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         if not differ:
             continue
         bands = differ + 2
-        edges = (np.arange(1, bands, dtype=object) * 2**64 // bands).astype(np.uint64)
-        cuts = np.concatenate(([0], np.searchsorted(tokens, edges), [n]))
+        cuts = np.concatenate(([0], np.searchsorted(tokens, band_edges(bands)), [n]))
         content = sums[cuts[1:]] - sums[cuts[:-1]]
         numbers = np.arange(bands, dtype=np.uint64) + np.uint64(r << 32)
         key = mixed(content * _B + mixed(numbers, 5), 6)
