@@ -252,11 +252,7 @@ def _texts(documents: DataFrame, ids: DataFrame, key: str, text: str) -> DataFra
     A table of hash slots, of bounded size, keeps most other texts out of the shuffle.
     """
     rows = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    slots = ids.select(F.pmod(F.xxhash64("id"), SLOTS).alias("slot")).distinct()
-    rows = rows.join(
-        F.broadcast(slots), F.pmod(F.xxhash64(rows["id"]), SLOTS) == slots["slot"], "left_semi"
-    )
-    return rows.join(ids, "id", "left_semi").distinct()
+    return _near_slots(rows, ids, "left_semi").join(ids, "id", "left_semi").distinct()
 
 
 def _tree_candidates(members: DataFrame, percent: int) -> DataFrame:
@@ -360,3 +356,45 @@ def joined(
     return named.select(
         F.col("id").alias(key), "n_shingles", F.coalesce("component_id", "id").alias("component_id")
     )
+
+
+def _near_slots(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """The rows in (or not in) the hash slots of the ids; the slot table is of bounded size."""
+    slots = ids.select(F.pmod(F.xxhash64("id"), SLOTS).alias("_slot")).distinct()
+    slot = F.pmod(F.xxhash64(rows["id"]), SLOTS)
+    return rows.join(F.broadcast(slots), slot == F.col("_slot"), how)
+
+
+def representatives(
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    percent: int = PERCENT,
+    width: int = WIDTH,
+) -> DataFrame:
+    """One document of each component: its smallest id. Rows without an id stay.
+
+    Of rows with one id the smallest stays. Only documents in the hash slots of those that go
+    or repeat are shuffled.
+    """
+    columns = documents.columns
+    found = joined(documents, key, text, percent, width).where(F.col(key).isNotNull())
+    found = found.groupBy(F.col(key).alias("id")).agg(
+        F.min("component_id").alias("component"), F.count("*").alias("times")
+    )
+    found = staged(found.where("component <> id OR times > 1"), "jaccard-touched")
+    rows = documents.withColumnRenamed(key, "id")
+    alone = rows.where("id IS NULL")
+    rows = rows.where("id IS NOT NULL")
+    rest = _near_slots(rows, found, "left_semi").join(
+        found.where("component <> id").select("id"), "id", "left_anti"
+    )
+    repeated = found.where("component = id").select("id")
+    others = [c for c in rows.columns if c != "id"]
+    once = rest.join(repeated, "id", "left_semi").groupBy("id")
+    once = once.agg(F.min(F.struct(*others)).alias("_row")).select("id", "_row.*")
+    parts = [_near_slots(rows, found, "left_anti"), rest.join(repeated, "id", "left_anti"), once, alone]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.withColumnRenamed("id", key).select(*columns)
