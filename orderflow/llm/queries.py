@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, decontamination, html, jaccard, licenses, quality, sharding, toxicity, urls
+from orderflow.llm import bpe, decontamination, html, jaccard, licenses, lm_scoring, quality, sharding, toxicity, urls
 from orderflow.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html.extracted(read(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
@@ -97,6 +101,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_html": op4_html,
     "op5_urls": op5_urls,
     "op6_licenses": op6_licenses,
