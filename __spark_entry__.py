@@ -1,8 +1,8 @@
 """Registered queries and the SQL that checks them.
 
-Every query runs over the whole customer, orders and lineitem tables, mapped to
-accounts, orders and transactions by ``orderflow.sources.retail``. ``MAPPING`` is
-the same mapping in SQL.
+Every query reads the whole of the tables that it needs: orders, with accounts also
+customer, with payments also lineitem. ``orderflow.sources.retail`` maps them to
+orders, accounts and transactions row by row; ``MAPPING`` is the same mapping in SQL.
 """
 
 from __future__ import annotations
@@ -68,6 +68,7 @@ except ModuleNotFoundError as missing:
 
 SMALL_TABLES = "/root/testdata/sf0.001"
 TARGET_MONTH = "1998-05"
+EMPTY_MONTH = "1950-01"
 STALE_AS_OF = date(2000, 7, 1)
 RAISED_TOTAL = 300000
 
@@ -168,14 +169,43 @@ def _limit_exceeded(t: RetailTables) -> DataFrame:
     )
 
 
-def _sql_views(t: RetailTables) -> DataFrame:
+def _register(t: RetailTables, **options) -> None:
     inputs = {"accounts": t.accounts, "orders": t.orders, "transactions": t.transactions}
     for name, table in inputs.items():
         table.createOrReplaceTempView(f"retail_{name}")
-    register_views(t.spark, **{name: f"retail_{name}" for name in inputs})
+    register_views(t.spark, **{name: f"retail_{name}" for name in inputs}, **options)
+
+
+def _sql_views(t: RetailTables) -> DataFrame:
+    _register(t)
     return t.spark.sql(f"SELECT {', '.join(CLASSIFIED)} FROM validated_orders ORDER BY account_id")
 
 
+def _sql_view_holding(t: RetailTables) -> DataFrame:
+    """Held rows of all months and how many share their reason, by SQL over the views."""
+    _register(t, target_month="ALL", with_violations=True)
+    return t.spark.sql(
+        "SELECT v.account_id, v.order_month, v.hold_reason, array_join(v.violations, ',') AS"
+        " violations, s.record_count FROM validated_orders v JOIN (SELECT hold_reason, count(*)"
+        " AS record_count FROM validated_orders WHERE hold_reason IS NOT NULL GROUP BY"
+        " hold_reason) s ON v.hold_reason = s.hold_reason"
+    )
+
+
+def _rag_status_double(t: RetailTables) -> DataFrame:
+    """RAG status of money in DOUBLE, the type that files are read with."""
+    money = _orders(t).withColumn("total_amount", F.col("total_amount").cast("double"))
+    compared = add_rag_status(previous_month_totals(calculate_monthly_totals(money)))
+    return compared.select("account_id", "order_month", "rag_status")
+
+
+def _reconciled_exact(t: RetailTables) -> DataFrame:
+    """As if every third order had been paid exactly."""
+    paid = F.when(F.col("order_id") % 3 == 0, F.col("total_paid")).otherwise(F.col("total_amount"))
+    rows = payment_reconciliation(_with_payments(t).withColumn("total_amount", paid))
+    return rows.select("order_id", "total_amount", "total_paid", "payment_status")
+
+
 _QUERIES: dict[str, Callable[[RetailTables], DataFrame]] = {
     "valid_orders": _orders,
     "successful_transactions": lambda t: successful_transactions(t.transactions),
@@ -208,7 +238,14 @@ _QUERIES: dict[str, Callable[[RetailTables], DataFrame]] = {
     "result_summary": lambda t: result_summary(_validated(t).result_table),
     "holding_summary": lambda t: holding_summary(_validated(t).holding_table),
     "holding_summary_total": lambda t: holding_summary_total(_validated(t).holding_table),
+    "holding_summary_no_orders": lambda t: holding_summary_total(
+        _validated(t, EMPTY_MONTH).holding_table
+    ),
     "rule_violations": _rule_violations,
+    "sql_view_holding": _sql_view_holding,
+    "rag_status_double": _rag_status_double,
+    "payment_reconciliation_exact": _reconciled_exact,
+    "customer_risk_score_low_bands": lambda t: _risk(t, high_from=30, medium_from=20),
     "previous_month_totals": lambda t: _compared(t).select(*COMPARED),
     "month_over_month": lambda t: month_over_month(_compared(t)).select(
         *COMPARED, "percentage_change"
@@ -249,10 +286,11 @@ WITH acc AS (
          CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END AS customer_name,
          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL
               ELSE CAST(1 + c_custkey % 3 AS INT) END AS order_limit
-  FROM customer WHERE c_custkey % 50 <> 7),
+  FROM customer),
 ord AS (
   SELECT CASE WHEN o_orderkey % 101 = 5 THEN NULL ELSE o_orderkey END AS order_id,
-         CASE WHEN o_custkey % 97 = 3 THEN NULL ELSE o_custkey END AS account_id,
+         CASE WHEN o_custkey % 97 = 3 THEN NULL WHEN o_custkey % 50 = 7 THEN -o_custkey
+              ELSE o_custkey END AS account_id,
          CAST(o_orderdate AS DATE) AS order_date,
          CAST(CASE WHEN o_orderkey % 40 = 1 THEN -o_totalprice
                    ELSE o_totalprice END AS DECIMAL(18,2)) AS total_amount,
@@ -337,9 +375,9 @@ def oracle_sql() -> dict[str, str]:
     target = f"order_month = DATE '{TARGET_MONTH}-01'"
     latest = "order_month = (SELECT MAX(order_month) FROM monthly)"
 
-    def risk(large_total: int, failure_points: str) -> str:
+    def risk(large_total: int, failure_points: str, high: int = 50, medium: int = 25) -> str:
         return f"""SELECT account_id, order_month, risk_score,
-              CASE WHEN risk_score >= 50 THEN 'HIGH_RISK' WHEN risk_score >= 25
+              CASE WHEN risk_score >= {high} THEN 'HIGH_RISK' WHEN risk_score >= {medium}
                    THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS risk_category
             FROM (SELECT account_id, order_month, CAST(
                     CASE WHEN order_count > order_limit THEN 20 ELSE 0 END
@@ -402,6 +440,20 @@ def oracle_sql() -> dict[str, str]:
         "holding_summary_total": f"""{held_summary}
             UNION ALL SELECT NULL, COUNT(*) FROM checked WHERE {held}""",
         "rule_violations": "SELECT account_id, order_month, hold_reason, violations FROM checked",
+        "holding_summary_no_orders": """SELECT CAST(NULL AS VARCHAR) AS hold_reason,
+            COUNT(*) AS record_count FROM checked WHERE order_month = DATE '1950-01-01'""",
+        "sql_view_holding": f"""SELECT account_id, order_month, hold_reason, violations,
+            COUNT(*) OVER (PARTITION BY hold_reason) AS record_count FROM checked WHERE {held}""",
+        "rag_status_double": "SELECT account_id, order_month, rag_status FROM changed",
+        "payment_reconciliation_exact": """SELECT order_id, CAST(amount AS DOUBLE) AS total_amount,
+            CAST(paid_sum AS DOUBLE) AS total_paid,
+            CASE WHEN transaction_count = 0 THEN 'NO_PAYMENT' WHEN paid_sum < amount THEN 'UNDERPAID'
+                 WHEN paid_sum = amount THEN 'EXACT' WHEN paid_sum > amount THEN 'OVERPAID'
+            END AS payment_status
+            FROM (SELECT order_id, transaction_count, total_paid AS paid_sum,
+                  CASE WHEN order_id % 3 = 0 THEN total_paid ELSE total_amount END AS amount
+                  FROM with_pay)""",
+        "customer_risk_score_low_bands": risk(10000, once, 30, 20),
         "previous_month_totals": f"SELECT {compared} FROM previous",
         "month_over_month": f"SELECT {compared}, percentage_change FROM changed",
         "rag_status": f"SELECT {compared}, rag_status FROM changed",

@@ -12,7 +12,12 @@ from orderflow.operators.accounts import (
     require_unique_accounts,
 )
 from orderflow.operators.filters import successful_transactions, valid_orders
-from orderflow.operators.monthly import calculate_monthly_totals, latest_month, orders_of_month
+from orderflow.operators.monthly import (
+    calculate_monthly_totals,
+    latest_month,
+    orders_of_month,
+    totals_of_month,
+)
 from orderflow.operators.payments import (
     join_orders_with_transactions,
     payment_reconciliation,
@@ -40,7 +45,7 @@ from orderflow.operators.validation import (
     apply_validation_rules,
     split_by_validation,
 )
-from orderflow.plans.rag import classify_rag, rag_tables, run_rag_analysis
+from orderflow.plans.rag import classify_rag, rag_tables, run_rag_analysis, run_rag_tables
 from orderflow.plans.reports import ordered_holding, ordered_holding_summary, ordered_result
 from orderflow.plans.validation import classify_orders, run_pipeline, validate_orders
 from orderflow.sources.catalog import register_views
@@ -88,9 +93,11 @@ __all__ = [
     "result_summary",
     "run_pipeline",
     "run_rag_analysis",
+    "run_rag_tables",
     "split_by_validation",
     "stale_order_rule",
     "successful_transactions",
+    "totals_of_month",
     "valid_orders",
     "validate_orders",
     "write_routed",

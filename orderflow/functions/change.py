@@ -22,18 +22,22 @@ def percentage_change(current: str, previous: str) -> Column:
 def rag_status(current: str, previous: str, no_baseline: str = "GREEN") -> Column:
     """RED, AMBER or GREEN by the increase; ``no_baseline`` where there is no change to judge.
 
-    Compares products instead of a quotient, so that DECIMAL totals exactly on a
-    threshold are not moved across it by rounding.
+    Totals are compared in cents as DECIMAL, whatever their type, and as products
+    instead of a quotient. So a total exactly on a threshold is not moved across it by
+    rounding, and DOUBLE sums give the same status in any order of addition. Totals that
+    are no number of cents (infinite, 10**26 or more) are compared as they are.
     """
-    if not no_baseline.isidentifier():
-        raise ValueError(f"not a status: {no_baseline!r}")
-    scaled_change = f"({current} - {previous}) * 100"
-    return F.expr(
-        f"CASE WHEN coalesce({previous} <= 0, true) OR {current} IS NULL THEN '{no_baseline}'"
-        f" WHEN {scaled_change} >= {previous} * {RED_FROM} THEN 'RED'"
-        f" WHEN {scaled_change} >= {previous} * {AMBER_FROM} THEN 'AMBER'"
-        " ELSE 'GREEN' END"
-    )
+
+    def rises_by(percent: int) -> str:
+        def at_least(new: str, old: str) -> str:
+            return f"({new} - {old}) * 100 >= {old} * {percent}"
+
+        cents = [f"try_cast({total} AS DECIMAL(28,2))" for total in (current, previous)]
+        return f"coalesce({at_least(*cents)}, {at_least(current, previous)})"
+
+    no_change = F.expr(f"coalesce({previous} <= 0, true) OR {current} IS NULL")
+    judged = F.when(F.expr(rises_by(RED_FROM)), "RED").when(F.expr(rises_by(AMBER_FROM)), "AMBER")
+    return F.when(no_change, F.lit(no_baseline)).otherwise(judged.otherwise("GREEN"))
 
 
 def limit_exceeded(order_count: str, order_limit: str) -> Column:

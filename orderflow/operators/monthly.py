@@ -63,3 +63,23 @@ def calculate_monthly_totals(orders: DataFrame, with_last_order_date: bool = Fal
         *monthly_measures(*extra)
     )
     return totals.withColumn("order_month", F.col("order_month").cast("timestamp"))
+
+
+def totals_of_month(
+    orders: DataFrame,
+    target_month: str | date | None = None,
+    with_last_order_date: bool = False,
+) -> DataFrame:
+    """``calculate_monthly_totals`` of the chosen months: one, the latest, or "ALL".
+
+    Orders of a single month are grouped by account alone, and the month is a value.
+    So the totals are already dealt by account when they are joined with the accounts.
+    """
+    chosen = orders_of_month(orders, target_month)
+    if target_month == ALL_MONTHS:
+        return calculate_monthly_totals(chosen, with_last_order_date)
+    month = F.lit(parse_month(target_month)) if target_month else latest_month(orders).scalar()
+    extra = [F.max("order_date").alias("last_order_date")] if with_last_order_date else []
+    totals = chosen.groupBy("account_id").agg(*monthly_measures(*extra))
+    names = [c for c in totals.columns if c != "account_id"]
+    return totals.select("account_id", month.cast("timestamp").alias("order_month"), *names)

@@ -27,10 +27,13 @@ def holding_summary(holding_table: DataFrame) -> DataFrame:
 def holding_summary_total(holding_table: DataFrame) -> DataFrame:
     """Number of held records per reason and, with a NULL reason, of all held records.
 
-    Every held record has a reason, so the NULL row can only be the total.
+    Every held record has a reason, so the NULL row can only be the total; it is zero
+    if nothing is held. Both parts come from one shuffle of the held records.
     """
     by_reason = holding_summary(holding_table)
-    return by_reason.rollup("hold_reason").agg(F.sum("record_count").alias("record_count"))
+    total = by_reason.agg(_total("record_count").alias("record_count"))
+    none = F.lit(None).cast(by_reason.schema["hold_reason"].dataType)
+    return by_reason.unionByName(total.withColumn("hold_reason", none))
 
 
 def get_result_summary(result_table: DataFrame) -> dict:

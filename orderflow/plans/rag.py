@@ -62,7 +62,7 @@ def rag_tables(
     )
 
 
-def run_rag_analysis(
+def run_rag_tables(
     spark: SparkSession,
     accounts_path: str,
     orders_path: str,
@@ -70,10 +70,11 @@ def run_rag_analysis(
     target_month: str | date | None = None,
     rules: Sequence[Rule] = DEFAULT_RULES,
     no_baseline: str = "GREEN",
+    as_of: datetime | None = None,
     unique_accounts: bool = True,
     **options,
-) -> DataFrame:
-    """Load the three tables and return the RAG result table.
+) -> RoutedTables:
+    """Load the three tables and return RAG result and RAG holding table.
 
     ``options`` are those of ``read_table``. As in ``run_pipeline`` the optimizer
     removes the payments join.
@@ -83,6 +84,9 @@ def run_rag_analysis(
         load_transactions(spark, transactions_path, **options),
     )
     accounts = load_accounts(spark, accounts_path, **options)
-    return rag_tables(
-        orders, accounts, target_month, rules, no_baseline, unique_accounts=unique_accounts
-    ).result_table
+    return rag_tables(orders, accounts, target_month, rules, no_baseline, as_of, unique_accounts)
+
+
+def run_rag_analysis(spark: SparkSession, *paths: str, **options) -> DataFrame:
+    """The result table of ``run_rag_tables``, which takes the same arguments."""
+    return run_rag_tables(spark, *paths, **options).result_table

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.functions.rules import DEFAULT_RULES, Rule
 from orderflow.operators.accounts import enrich_with_account_data, require_unique_accounts
-from orderflow.operators.monthly import calculate_monthly_totals, orders_of_month
+from orderflow.operators.monthly import totals_of_month
 from orderflow.operators.payments import join_orders_with_transactions
 from orderflow.operators.validation import (
     RoutedTables,
@@ -36,8 +36,7 @@ def classify_orders(
     """
     if unique_accounts:
         accounts = require_unique_accounts(accounts)
-    chosen = orders_of_month(orders, target_month)
-    totals = calculate_monthly_totals(chosen, with_last_order_date=True)
+    totals = totals_of_month(orders, target_month, with_last_order_date=True)
     enriched = enrich_with_account_data(totals, accounts, unique_accounts)
     return apply_validation_rules(enriched, rules, with_violations)
 

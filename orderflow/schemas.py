@@ -4,6 +4,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructType,
     TimestampType,
@@ -67,6 +68,21 @@ RAG_HOLDING = (
     .add("hold_timestamp", TimestampType(), False)
 )
 
+# Files of the routed sink, with the declared types of the keys.
+ROUTED = (
+    StructType()
+    .add("account_id", StringType())
+    .add("customer_name", StringType())
+    .add("order_month", TimestampType())
+    .add("monthly_total", DoubleType())
+    .add("order_count", LongType())
+    .add("total_products", LongType())
+    .add("order_limit", IntegerType())
+    .add("hold_reason", StringType())
+    .add("hold_timestamp", TimestampType())
+    .add("route", StringType())
+)
+
 # Column order of the validated tables.
 RESULT_COLUMNS = [
     "account_id",

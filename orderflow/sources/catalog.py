@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.operators.accounts import enrich_with_account_data
+from orderflow.functions.rules import DEFAULT_RULES, Rule
+from orderflow.operators.accounts import enrich_with_account_data, require_unique_accounts
 from orderflow.operators.filters import successful_transactions, valid_orders
-from orderflow.operators.monthly import calculate_monthly_totals, orders_of_month
+from orderflow.operators.monthly import calculate_monthly_totals, totals_of_month
 from orderflow.operators.payments import join_orders_with_transactions
 from orderflow.operators.validation import apply_validation_rules
 
@@ -19,26 +21,33 @@ def register_views(
     orders: str = "orders",
     transactions: str = "transactions",
     target_month: str | date | None = None,
+    rules: Sequence[Rule] = DEFAULT_RULES,
+    with_violations: bool = False,
+    unique_accounts: bool = True,
 ) -> dict[str, DataFrame]:
     """Publish each stage over three catalog tables as a temporary view for SQL.
 
     The views of enriched and validated totals show the latest month unless
-    ``target_month`` names another or "ALL".
+    ``target_month`` names another or "ALL". Rules, violations and the check for repeated
+    accounts are those of ``classify_orders``.
     """
     kept_orders = valid_orders(spark.table(orders))
     payments = successful_transactions(spark.table(transactions))
     with_payments = join_orders_with_transactions(kept_orders, payments)
-    enriched = enrich_with_account_data(
-        calculate_monthly_totals(orders_of_month(with_payments, target_month)),
-        spark.table(accounts),
-    )
+    known = spark.table(accounts)
+    if unique_accounts:
+        known = require_unique_accounts(known)
+    totals = totals_of_month(with_payments, target_month, with_last_order_date=True)
+    enriched = enrich_with_account_data(totals, known, unique_accounts)
+    validated = apply_validation_rules(enriched, rules, with_violations)
+    # The names of the views.
     views = {
         "valid_orders": kept_orders,
         "successful_transactions": payments,
-        "orders_with_payments": with_payments,
+        "orders_with_payments": with_payments.drop("status"),
         "monthly_account_totals": calculate_monthly_totals(with_payments),
-        "enriched_monthly_totals": enriched,
-        "validated_orders": apply_validation_rules(enriched),
+        "enriched_monthly_totals": enriched.drop("last_order_date"),
+        "validated_orders": validated.drop("last_order_date"),
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)

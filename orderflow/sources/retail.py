@@ -25,8 +25,8 @@ LINEITEM = (
 
 
 def accounts_of(customer: DataFrame) -> DataFrame:
-    """Customers as accounts; some are left out, some lack a name or a limit."""
-    return customer.where("c_custkey % 50 <> 7").selectExpr(
+    """Customers as accounts; some lack a name or a limit."""
+    return customer.selectExpr(
         "c_custkey AS account_id",
         "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END AS customer_name",
         "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL"
@@ -35,10 +35,11 @@ def accounts_of(customer: DataFrame) -> DataFrame:
 
 
 def orders_of(orders: DataFrame) -> DataFrame:
-    """Orders; some lack their id or account, some have a negative amount."""
+    """Orders; some lack their id, lack or have an unknown account, or have a negative amount."""
     return orders.selectExpr(
         "CASE WHEN o_orderkey % 101 = 5 THEN NULL ELSE o_orderkey END AS order_id",
-        "CASE WHEN o_custkey % 97 = 3 THEN NULL ELSE o_custkey END AS account_id",
+        "CASE WHEN o_custkey % 97 = 3 THEN NULL WHEN o_custkey % 50 = 7 THEN -o_custkey"
+        " ELSE o_custkey END AS account_id",
         "CAST(o_orderdate AS DATE) AS order_date",
         "CAST(CASE WHEN o_orderkey % 40 = 1 THEN -o_totalprice"
         " ELSE o_totalprice END AS DECIMAL(18,2)) AS total_amount",

@@ -187,6 +187,22 @@ def test_shuffles(spark, shop, settings):
     assert "Window" not in _plan(single)
 
 
+@pytest.mark.parametrize("month", ["2024-03", None])
+def test_one_month_is_validated_in_two_shuffles(spark, shop, settings, month):
+    """Orders by account and accounts by account; the check for repeats adds none."""
+    settings(autoBroadcastJoinThreshold="-1")
+    orders, _, accounts = _load(spark, shop)
+    for table in (
+        of.classify_orders(orders, accounts, month),
+        of.classify_rag(orders, accounts, month),
+    ):
+        assert _exchanges(table) == 2
+        assert _plan(table).count("ReadSchema: struct<account_id:string,customer_name:") == 1
+    both = accounts.union(accounts.limit(1))
+    with pytest.raises(Exception, match="account listed more than once"):
+        of.classify_orders(orders, both, month).collect()
+
+
 def test_partial_aggregation_precedes_every_shuffle_of_totals(spark, shop):
     orders, transactions, _ = _load(spark, shop)
     for frame in (of.calculate_monthly_totals(orders), of.payment_summary(transactions)):

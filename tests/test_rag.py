@@ -58,13 +58,17 @@ def test_previous_month_is_the_calendar_month(spark):
         ("100", "10", -90.0, "GREEN"),
         ("110.30", "143.39", 30.0, "AMBER"),
         ("0.10", "0.13", 30.0, "AMBER"),
+        ("0.10", "0.15", 50.0, "RED"),
+        ("1.10", "1.65", 50.0, "RED"),
+        ("1.10", "1.64", 49.09090909, "AMBER"),
         ("0", "50", None, "GREEN"),
         ("-5", "50", None, "GREEN"),
         ("100", None, None, "GREEN"),
     ],
 )
-def test_change_and_status(spark, previous, current, change, status):
-    row = _judged(spark, Decimal(previous), current and Decimal(current))
+@pytest.mark.parametrize("kind, money", [("decimal(18,2)", Decimal), ("double", float)])
+def test_change_and_status(spark, previous, current, change, status, kind, money):
+    row = _judged(spark, money(previous), current and money(current), kind)
     assert row["percentage_change"] == (None if change is None else pytest.approx(change))
     assert row["rag_status"] == status
 
@@ -72,6 +76,12 @@ def test_change_and_status(spark, previous, current, change, status):
 def test_status_without_baseline_can_be_named(spark):
     assert _judged(spark, 0.0, 1.0, "double", no_baseline="NONE")["rag_status"] == "NONE"
     assert _judged(spark, 10.0, 15.0, "double", no_baseline="NONE")["rag_status"] == "RED"
+    assert _judged(spark, 0.0, 1.0, "double", no_baseline="NO 'BASE'")["rag_status"] == "NO 'BASE'"
+
+
+@pytest.mark.parametrize("previous, current, status", [(1e30, 1e31, "RED"), (1e30, 1e30, "GREEN")])
+def test_totals_beyond_cents_are_judged_as_they_are(spark, previous, current, status):
+    assert _judged(spark, previous, current, "double")["rag_status"] == status
 
 
 @pytest.mark.parametrize("count, limit, flag", [(6, 5, "YES"), (5, 5, "NO"), (6, None, "NO")])

@@ -3,11 +3,22 @@ import os
 from datetime import date, datetime
 from decimal import Decimal
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 import orderflow as of
-from orderflow.schemas import ACCOUNTS, HOLDING_COLUMNS, ORDERS, RESULT_COLUMNS, TRANSACTIONS
+from orderflow.schemas import (
+    ACCOUNTS,
+    HOLDING_COLUMNS,
+    ORDERS,
+    RESULT_COLUMNS,
+    ROUTED,
+    TRANSACTIONS,
+)
 from orderflow.sources.files import _format_of, read_table
+from orderflow.sources.retail import RetailTables
 from tests.frames import rows
 
 ACCOUNT_LINES = """account_id,customer_name,order_limit,created_date,status
@@ -208,34 +219,110 @@ def test_views_over_catalog_tables(spark, files):
     assert tuple(summary.first()) == (1, pytest.approx(160.15), 2)
 
 
-SAMPLE = os.environ.get("ORDERFLOW_SAMPLE_DIR", "")
+def _shop_tables(spark, path):
+    """Classified account-months of two months, some of them held."""
+    sold = of.load_orders(spark, path["orders_path"])
+    return of.classify_orders(sold, of.load_accounts(spark, path["accounts_path"]), of.ALL_MONTHS)
+
+
+def test_a_month_is_replaced_and_the_others_stay(spark, files, tmp_path):
+    classified, path = _shop_tables(spark, files), str(tmp_path / "routed")
+    of.write_routed(classified, path, by_month=True)
+    whole = of.read_routed(spark, path)
+    before = rows(whole.result_table), rows(whole.holding_table, *HOLDING_COLUMNS[:-1])
+    assert before[1]
+    december = classified.where("order_month >= DATE '2024-12-01'")
+    of.write_routed(december, path, by_month=True, mode="replace")
+    again = of.read_routed(spark, path)
+    assert (rows(again.result_table), rows(again.holding_table, *HOLDING_COLUMNS[:-1])) == before
+    of.write_routed(december.where("NOT validation_failed"), path, by_month=True, mode="replace")
+    cleared = of.read_routed(spark, path)
+    assert rows(cleared.result_table) == before[0]
+    assert not cleared.holding_table.where("order_month >= DATE '2024-12-01'").count()
+    with pytest.raises(ValueError, match="by_month"):
+        of.write_routed(december, path, mode="replace")
+
+
+@pytest.mark.parametrize("by_month", [False, True])
+def test_summaries_come_from_the_same_pass(spark, files, tmp_path, by_month):
+    classified = _shop_tables(spark, files)
+    output = of.split_by_validation(classified)
+    found = of.write_routed(classified, str(tmp_path / "routed"), by_month=by_month)
+    wanted = of.get_result_summary(output.result_table)
+    assert found["result"] == {k: pytest.approx(v) for k, v in wanted.items()}
+    assert found["holding"] == of.get_holding_summary(output.holding_table)
+
+
+@pytest.mark.parametrize("by_month", [False, True])
+def test_an_empty_run_can_be_read_back(spark, files, tmp_path, by_month):
+    path = str(tmp_path / "routed")
+    found = of.write_routed(_shop_tables(spark, files).where("false"), path, by_month=by_month)
+    assert found["holding"] == {"total_held": 0, "by_reason": {}}
+    for schema in (None, ROUTED):
+        written = of.read_routed(spark, path, schema)
+        assert written.result_table.columns == RESULT_COLUMNS and not written.result_table.count()
+        assert written.holding_table.columns == HOLDING_COLUMNS and not written.holding_table.count()
 
 
-@pytest.mark.skipif(not SAMPLE, reason="set ORDERFLOW_SAMPLE_DIR to a folder with the sample CSVs")
-def test_known_answers_of_the_sample(spark):
-    paths = {f"{name}_path": f"{SAMPLE}/{name}.csv" for name in ("accounts", "orders", "transactions")}
-    output = of.run_pipeline(spark, **paths)
-    assert of.get_holding_summary(output.holding_table)["total_held"] == 0
-    assert of.get_result_summary(output.result_table) == {
-        "total_records": 10, "total_amount": 75860.0, "total_orders": 24,
+def test_views_refuse_repeated_accounts_and_take_rules(spark, files):
+    for name, schema in (("accounts", ACCOUNTS), ("orders", ORDERS), ("transactions", TRANSACTIONS)):
+        frame = read_table(spark, files[f"{name}_path"], schema)
+        frame = frame.union(frame) if name == "accounts" else frame
+        frame.createOrReplaceTempView(f"shop_{name}")
+    names = ["shop_accounts", "shop_orders", "shop_transactions"]
+    of.register_views(spark, *names)
+    with pytest.raises(Exception, match="account listed more than once"):
+        spark.sql("SELECT * FROM validated_orders").collect()
+    rules = (of.Rule("ANY", "true"), *of.DEFAULT_RULES)
+    of.register_views(spark, *names, rules=rules, with_violations=True, unique_accounts=False)
+    held = spark.sql("SELECT DISTINCT hold_reason, violations[0] AS first FROM validated_orders")
+    assert rows(held) == [("ANY", "ANY")]
+    assert "status" not in spark.table("orders_with_payments").columns
+
+
+RETAIL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(RETAIL), reason="no test tables")
+@pytest.mark.parametrize("format", ["csv", "json", "parquet"])
+def test_files_against_sql(spark, tmp_path, format):
+    """The adapter's tables as files, through the file entries, against their SQL."""
+    tables, paths = RetailTables(spark, RETAIL), {}
+    inputs = {
+        "accounts": (tables.accounts, ACCOUNTS),
+        "orders": (tables.orders, ORDERS),
+        "transactions": (tables.transactions, TRANSACTIONS),
     }
-    november = of.run_pipeline(spark, **paths, target_month="2024-11-01").result_table
-    assert of.get_result_summary(november)["total_amount"] == 69760.5
-    rag = of.run_rag_analysis(spark, **paths)
-    assert rows(rag, "account_id", "rag_status", "limit_exceeded") == [
-        (f"ACC{i:03d}", "RED" if i in (1, 4, 6, 9) else "GREEN", "NO") for i in range(1, 11)
-    ]
-    changes = [93.3734, -11.4286, 18.9189, 150.0, 0.0, 193.0, -21.8182, -14.1304, 92.517, -30.4]
-    assert [row[1] for row in rows(rag, "account_id", "percentage_change")] == [
-        pytest.approx(change, abs=1e-4) for change in changes
-    ]
-    reconciled = of.payment_reconciliation(
-        of.join_orders_with_transactions(
-            of.load_orders(spark, paths["orders_path"]),
-            of.load_transactions(spark, paths["transactions_path"]),
-        )
-    )
-    assert rows(reconciled.groupBy("payment_status").count()) == [
-        ("EXACT", 22), ("NO_PAYMENT", 4), ("OVERPAID", 24),
-    ]
-    assert reconciled.agg({"total_paid": "sum"}).first()[0] == 212270.5
+    for name, (table, schema) in inputs.items():
+        columns = [
+            F.col(f.name).cast(f.dataType).alias(f.name)
+            if f.name in table.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+        paths[f"{name}_path"] = path = str(tmp_path / f"{name}.{format}")
+        writer = table.select(*columns).write
+        (writer.option("header", True) if format == "csv" else writer).format(format).save(path)
+    connection = duckdb.connect()
+    for name in ("customer", "orders", "lineitem"):
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{RETAIL}/{name}.parquet')")
+
+    def compare(table, query, columns):
+        wanted = connection.sql(registered.oracle_sql()[query]).select(", ".join(columns)).fetchall()
+        found = [tuple(r) for r in table.select(*columns).collect()]
+
+        def plain(row):
+            return tuple(str(round(v, 2)) if isinstance(v, float) else str(v) for v in row)
+
+        assert sorted(map(plain, found)) == sorted(map(plain, wanted)) and found
+
+    output = of.run_pipeline(spark, **paths, target_month=of.ALL_MONTHS)
+    compare(output.result_table, "result_table", ["account_id", "monthly_total", "order_count"])
+    held = ["account_id", "monthly_total", "hold_reason"]
+    compare(output.holding_table, "holding_table", held)
+    time = datetime(2025, 1, 1)
+    rag = of.run_rag_tables(spark, **paths, target_month=of.ALL_MONTHS, as_of=time)
+    columns = ["account_id", "current_month_total", "previous_month_total", "rag_status"]
+    compare(rag.result_table, "rag_result", columns)
+    compare(rag.holding_table, "rag_holding", [*columns, "hold_reason"])
+    assert {r.hold_timestamp for r in rag.holding_table.collect()} == {time}

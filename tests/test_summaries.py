@@ -35,6 +35,12 @@ def test_empty_and_null_summaries_are_zero(spark):
     assert of.result_summary(exact).first()["total_amount"] == Decimal("1.10")
 
 
+def test_total_of_nothing_held_is_zero(spark):
+    held = _output(spark, ("O1", "A1", "2024-12-05", 1.0)).holding_table
+    assert rows(of.holding_summary_total(held)) == [(None, 0)]
+    assert rows(of.holding_summary_total(_output(spark).holding_table)) == [(None, 0)]
+
+
 def test_holding_summary(spark):
     held = _output(spark, *DECEMBER).holding_table
     assert of.get_holding_summary(held) == {
