@@ -49,7 +49,12 @@ from orderflow.plans.rag import classify_rag, rag_tables, run_rag_analysis, run_
 from orderflow.plans.reports import ordered_holding, ordered_holding_summary, ordered_result
 from orderflow.plans.validation import classify_orders, run_pipeline, validate_orders
 from orderflow.sources.catalog import register_views
-from orderflow.sources.files import load_accounts, load_orders, load_transactions
+from orderflow.sources.files import (
+    load_accounts,
+    load_orders,
+    load_transactions,
+    rejected_records,
+)
 from orderflow.sources.routed import read_routed, write_routed
 
 __all__ = [
@@ -89,6 +94,7 @@ __all__ = [
     "rag_tables",
     "read_routed",
     "register_views",
+    "rejected_records",
     "require_unique_accounts",
     "result_summary",
     "run_pipeline",

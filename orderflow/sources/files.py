@@ -25,6 +25,7 @@ def read_table(
     format: str | None = None,
     money: str = "double",
     keep_corrupt: bool = False,
+    reject_corrupt: bool = False,
     **options,
 ) -> DataFrame:
     """Read a table with a fixed schema.
@@ -32,8 +33,10 @@ def read_table(
     ``format`` defaults to the suffix of the path, CSV without one. A CSV header
     that does not match the schema is an error, while an unreadable value becomes
     NULL; ``keep_corrupt`` adds the raw text of such records in
-    ``_corrupt_record``. ``money="decimal"`` turns the double columns into
-    DECIMAL(18,2), whose sums do not depend on the order of addition.
+    ``_corrupt_record``, and ``reject_corrupt`` leaves them out; ``rejected_records``
+    returns them. ``money="decimal"`` turns the double columns into DECIMAL(18,2), whose
+    sums do not depend on the order of addition; an amount of 10**16 or more stops the job,
+    since as NULL it would pass unseen.
     """
     if money not in ("double", "decimal"):
         raise ValueError(f"money must be 'double' or 'decimal', not {money!r}")
@@ -41,21 +44,40 @@ def read_table(
     reader = spark.read
     if format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
-    if keep_corrupt and format in ("csv", "json"):
+    marked = (keep_corrupt or reject_corrupt) and format in ("csv", "json")
+    if marked:
+        # Else a record would count as unreadable by the columns that a query reads.
+        reader = reader.option("columnPruning", False)
         schema = StructType([*schema.fields, StructField(CORRUPT_RECORD, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD)
     table = reader.options(**options).schema(schema).format(format).load(path)
+    if reject_corrupt and marked:
+        table = table.where(F.col(CORRUPT_RECORD).isNull())
+        table = table if keep_corrupt else table.drop(CORRUPT_RECORD)
     if money == "decimal":
         table = table.withColumns(
             {
                 field.name: F.col(field.name).cast("decimal(18,2)")
                 for field in schema
-                if field.dataType.typeName() == "double"
+                if field.name in table.columns and field.dataType.typeName() == "double"
             }
         )
     return table
 
 
+def rejected_records(
+    spark: SparkSession, path: str, schema: StructType, **options
+) -> DataFrame:
+    """The records that do not fit the schema, as far as they could be read, with their text.
+
+    Options are those of ``read_table``. Parquet files have no such records.
+    """
+    table = read_table(spark, path, schema, **{**options, "keep_corrupt": True})
+    if CORRUPT_RECORD not in table.columns:
+        return table.withColumn(CORRUPT_RECORD, F.lit(None).cast("string")).where("false")
+    return table.where(F.col(CORRUPT_RECORD).isNotNull())
+
+
 def load_accounts(spark: SparkSession, path: str, **options) -> DataFrame:
     """All accounts. Options are those of ``read_table``."""
     return read_table(spark, path, schemas.ACCOUNTS, **options)

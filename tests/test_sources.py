@@ -84,6 +84,28 @@ def test_unreadable_records_can_be_kept(spark, files):
     assert "_corrupt_record" not in ACCOUNTS.names
 
 
+@pytest.mark.parametrize("format", ["csv", "json", "parquet"])
+def test_rejected_records_have_a_way_out(spark, tmp_path, format):
+    good = {"order_id": "O1", "account_id": "A1", "order_date": "2024-12-01",
+            "total_amount": "5.5", "product_count": "2", "status": "PENDING"}
+    bad = good | {"order_id": "O2", "total_amount": "many"}
+    path = str(tmp_path / f"orders.{format}")
+    if format == "parquet":
+        frame = spark.createDataFrame([("O1", "A1", date(2024, 12, 1), 5.5, 2, "PENDING")], ORDERS)
+        frame.write.parquet(path)
+    else:
+        lines = [",".join(good), *(",".join(r.values()) for r in (good, bad))]
+        if format == "json":
+            numbers = {"total_amount": 5.5, "product_count": 2}
+            lines = [json.dumps(good | numbers), json.dumps(bad | {"product_count": 2})]
+        (tmp_path / f"orders.{format}").write_text("\n".join(lines) + "\n")
+    kept = of.load_orders(spark, path, reject_corrupt=True)
+    assert kept.columns == ORDERS.names
+    assert rows(kept, "order_id", "total_amount") == [("O1", 5.5)]
+    rejected = of.rejected_records(spark, path, ORDERS).collect()
+    assert ["many" in r["_corrupt_record"] for r in rejected] == [True] * (format != "parquet")
+
+
 @pytest.mark.parametrize(
     "path, format",
     [
