@@ -41,8 +41,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, and digests of ids and decoded text."""
-    path = tokenizer_file()
-    tokens = bpe.decode(bpe.encode(docs, path), path)
+    tokens = bpe.round_trip(docs, tokenizer_file())
     return tokens.select(
         "doc_id",
         "ids",

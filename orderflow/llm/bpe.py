@@ -199,3 +199,20 @@ def decode(ids: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     rows = ids.select(key, "ids")
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(run, f"`{key}` {kind}, ids binary, decoded string")
+
+
+def round_trip(texts: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``encode`` and then ``decode`` give, by one worker for each task instead of two."""
+    small_batches(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = vocabulary(path)
+        for batch in batches:
+            ids = model.encode(batch.column(1).to_pylist())
+            decoded = pa.array([model.decode(x) for x in ids], pa.string())
+            arrays = [batch.column(0), pa.array(ids, pa.binary()), decoded]
+            yield pa.RecordBatch.from_arrays(arrays, names=[key, "ids", "decoded"])
+
+    rows = texts.select(key, text)
+    kind = rows.schema[0].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{key}` {kind}, ids binary, decoded string")

@@ -16,7 +16,8 @@ WHITE = " \t\n\x0b\x0c\r"
 """The white space between words; ``bytes.split()`` splits at the same characters."""
 
 FEW_ROWS = 1000
-"""Rows of an Arrow batch, so that a batch of the longest texts stays far below a worker's memory."""
+FEW_BYTES = 8 << 20
+"""Rows and bytes of an Arrow batch; a batch of the longest texts has a few rows only."""
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,9 +25,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the rows that a Python worker holds at once."""
+    """Bounds the rows and the bytes that a Python worker holds at once."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > FEW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FEW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(FEW_BYTES))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -96,6 +98,7 @@ def with_columns(
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], *arrays], names=[*names, *added.names]
             )
+        pa.default_memory_pool().release_unused()
 
     kept = rows.select(*names).schema.fields
     return rows.mapInArrow(run, StructType([*kept, *added.fields]))

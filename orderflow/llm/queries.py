@@ -21,8 +21,7 @@ def tokenizer_file() -> str:
 
 
 def token_digests(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    path = tokenizer_file()
-    tokens = bpe.decode(bpe.encode(documents, path), path)
+    tokens = bpe.round_trip(documents, tokenizer_file())
     return tokens.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),

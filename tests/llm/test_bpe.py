@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from orderflow.llm import bpe
-from orderflow.llm.queries import op7_bpe, token_digests
+from orderflow.llm.queries import op7_bpe, token_digests, tokenizer_file
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
@@ -46,6 +46,15 @@ def test_equals_the_library(spark, library):
     assert found == {n: digest(library, text) for n, text, _ in rows}
 
 
+def test_round_trip_is_encode_then_decode(spark):
+    rows = [(1, "one two <|endoftext|>"), (2, None), (2, ""), (3, "é\u00a0\n\n x" * 50), (3, "one two <|endoftext|>")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    path = tokenizer_file()
+    both = bpe.decode(bpe.encode(texts, path), path)
+    assert sorted(map(tuple, bpe.round_trip(texts, path).collect())) == sorted(map(tuple, both.collect()))
+    assert bpe.round_trip(texts.where("false"), path).collect() == []
+
+
 def test_repeated_ids_and_empty_table(spark):
     documents = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
     assert token_digests(spark, documents).count() == 3
