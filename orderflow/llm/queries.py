@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, decontamination, html, jaccard, licenses, lm_scoring, quality, sharding, toxicity, urls
+from orderflow.llm import (
+    bpe,
+    decontamination,
+    html,
+    jaccard,
+    licenses,
+    lm_scoring,
+    periodic,
+    quality,
+    sharding,
+    toxicity,
+    urls,
+)
 from orderflow.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +109,58 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """``doc_id, text`` in which every tenth document by crc32(doc_id as text) repeats itself.
+
+    With h that hash, g = h div 10 and n words, the words from a = g mod n on are replaced
+    by repeats of the first 1 + (n - a) div (3 + g mod 8) of them.
+    """
+    parts = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(hashed / 10)
+    words = F.array(F.filter(parts, lambda word: word != ""))
+
+    def repeated(w):
+        n = F.size(w)
+        places = F.array(F.struct((g % n).cast("int").alias("a"), n.alias("n")))
+
+        def put(s):
+            period = 1 + F.floor((s.n - s.a) / (3 + g % 8)).cast("int")
+            at = lambda i: F.when(i < s.a, i).otherwise(s.a + (i - s.a) % period)
+            return F.transform(F.sequence(F.lit(0), s.n - 1), lambda i: F.get(w, at(i)))
+
+        joined = F.array_join(F.get(F.transform(places, put), F.lit(0)), " ")
+        return F.when(n > 0, joined).otherwise(F.lit(""))
+
+    altered = F.get(F.transform(words, repeated), F.lit(0))
+    return documents.select("doc_id", F.when(hashed % 10 == 0, altered).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.detected(with_planted_periods(read(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period")))
+    )
+    rows = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    best = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest.alias("best"),
+        F.sha2(F.array_join(rows, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return best.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -108,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLES: dict[str, str] = {}
