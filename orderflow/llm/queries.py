@@ -12,6 +12,7 @@ from orderflow.llm import (
     decontamination,
     html,
     jaccard,
+    language,
     licenses,
     lm_scoring,
     periodic,
@@ -109,6 +110,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    found = language.predicted(documents, language.fit(documents))
+    held_out = F.coalesce(remainder(F.col("doc_id"), language.PARTS) == language.HELD_OUT, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def with_planted_periods(documents: DataFrame) -> DataFrame:
     """``doc_id, text`` in which every tenth document by crc32(doc_id as text) repeats itself.
 
@@ -172,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op12_language": op12_language,
     "op13_periodic": op13_periodic,
 }
 
