@@ -17,6 +17,7 @@ from orderflow.llm import (
     lm_scoring,
     periodic,
     quality,
+    ranked,
     sharding,
     toxicity,
     urls,
@@ -110,6 +111,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     found = language.predicted(documents, language.fit(documents))
@@ -180,8 +185,45 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_ranked": op11_ranked,
     "op12_language": op12_language,
     "op13_periodic": op13_periodic,
 }
 
-ORACLES: dict[str, str] = {}
+RANKED_SQL = r"""
+WITH found AS (
+  SELECT d.row_id, d.doc_id, unnest(regexp_extract_all(
+    translate(d.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row_id, doc_id, text FROM documents) d
+), lengths AS (
+  SELECT row_id, doc_id, count(*) AS n FROM found GROUP BY row_id, doc_id
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+), measures AS (
+  SELECT row_id, doc_id, 100 - 50 + ((50 * n * docs) // terms) AS m FROM lengths, totals
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), postings AS (
+  SELECT row_id, term, count(*) AS tf FROM found
+  WHERE term IN (SELECT term FROM wanted) GROUP BY row_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals
+), scores AS (
+  SELECT item_id, doc_id, row_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN measures USING (row_id)
+  GROUP BY item_id, doc_id, row_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, row_id) AS rank
+  FROM scores WHERE score > 0
+) WHERE rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op11_ranked": RANKED_SQL}

@@ -1,0 +1,142 @@
+import math
+import random
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+
+from orderflow.llm import ranked
+from orderflow.llm.queries import ORACLES, op11_ranked
+
+SCHEMA = "doc_id long, text string, score long, id int, item string"
+
+
+def plain_terms(text):
+    out, word = [], ""
+    for c in (text or "") + " ":
+        c = chr(ord(c) + 32) if "A" <= c <= "Z" else c
+        if ord(c) >= 0x80 or c in "abcdefghijklmnopqrstuvwxyz0123456789":
+            word += c
+        else:
+            out += [word] if word else []
+            word = ""
+    return out
+
+
+def plain_ranking(documents, queries, depth):
+    """Every document scored for every query."""
+    bags = [(i, Counter(plain_terms(t))) for i, t in documents]
+    bags = [(i, b) for i, b in bags if b]
+    n, length = len(bags), sum(b.total() for _, b in bags)
+    frequency = Counter(t for _, b in bags for t in b)
+    asked = {}
+    for item, text in queries:
+        asked.setdefault(item, set()).update(plain_terms(text))
+    rows = []
+    for item, terms in asked.items():
+        scored = []
+        for i, bag in bags:
+            m = 50 + 50 * bag.total() * n // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * frequency[t] + 1))) * (10**9 * bag[t] // (1000 * bag[t] + 20 * m))
+                for t in terms & bag.keys()
+            )
+            if score:
+                scored.append((-score, i is None, i or 0))
+        rows += [(item, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(sorted(scored)[:depth])]
+    return sorted(rows, key=str)
+
+
+def made(seed, size=400):
+    chance = random.Random(seed)
+    words = [f"w{n}" for n in range(60)] + ["É", "ß9", "日本"]
+    texts = [" ".join(chance.choices(words, [1 / (k + 1) for k in range(63)], k=chance.randint(0, 40))) for _ in range(size)]
+    documents = [(n, t) for n, t in enumerate(texts)]
+    documents += [(n + size, texts[3]) for n in range(80)] + [(5, texts[5]), (None, texts[7]), (None, texts[7])]
+    documents += [(9000, None), (9001, ""), (9002, " ,. "), (9003, "W1 w2, W3-w4 " * 3000)]
+    queries = [(f"q{n}", " ".join(chance.sample(words, 6))) for n in range(12)]
+    queries += [("q0", "w50 w51"), (None, "w3 W3"), ("none", None), ("empty", "--"), ("far", "unheard of"), ("q1", queries[1][1])]
+    return documents, queries
+
+
+@pytest.mark.parametrize(("depth", "pairs", "dense"), [(50, 8192, 16 << 20), (7, 20, 1 << 10)])
+def test_against_brute_force(spark, monkeypatch, depth, pairs, dense):
+    monkeypatch.setattr(ranked, "DENSE", dense)
+    documents, queries = made(depth)
+    table = spark.createDataFrame([(*d, 1, 2, "x") for d in documents], SCHEMA).repartition(3)
+    asked = spark.createDataFrame([(*q, "x") for q in queries], "item_id string, text string, term string")
+    found = ranked.ranked(table, asked, depth, pairs=pairs)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(tuple, found.collect()), key=str) == plain_ranking(documents, queries, depth)
+
+
+def test_empty_tables(spark):
+    documents, queries = made(1, 20)
+    table = spark.createDataFrame([(*d, 1, 2, "x") for d in documents], SCHEMA)
+    asked = spark.createDataFrame(queries, "item_id string, text string")
+    for some, wanted in ((table.where("false"), asked), (table, asked.where("false")), (table.where("text = ''"), asked)):
+        found = ranked.ranked(some, wanted)
+        assert found.collect() == []
+        assert found.dtypes == [("item_id", "string"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]
+
+
+def segment(topics, size, seed=2):
+    """Documents about topics: words of the topic and common ones."""
+    random_ = np.random.default_rng(seed)
+    width = 40 * topics + 40
+    bags = []
+    for _ in range(size):
+        topic = random_.integers(topics)
+        words = np.concatenate((random_.integers(0, 40, 10), 40 + 40 * topic + random_.integers(0, 40, 20)))
+        bags.append(np.unique(words, return_counts=True))
+    terms, counts = (np.concatenate(x) for x in zip(*bags))
+    rooms = np.array([len(b[0]) for b in bags])
+    frequencies = np.bincount(terms, minlength=width)
+    weights = ranked.term_weights(size, frequencies)
+    lengths = np.full(size, 30)
+    starts = np.concatenate(([0], np.cumsum(rooms)))
+    return ranked.Segment(lengths, starts, terms, counts, weights, size, 30 * size), width
+
+
+def test_summaries_bound_every_document():
+    found, width = segment(8, 600)
+    random_ = np.random.default_rng(5)
+    for _ in range(20):
+        query = np.unique(random_.integers(0, width, 12))
+        asked = np.zeros(width, np.int64)
+        asked[query] = 1
+        for docs, summary in zip(found.blocks, found.summaries):
+            bound = ranked.UPPER[summary[query]] @ found.weights[query]
+            assert found.scores(docs, asked).max() <= bound
+    # Each list's blocks hold its documents, each once.
+    lists = [np.concatenate([*found.blocks[a:b], np.zeros(0, int)]) for a, b in zip(found.first, found.first[1:])]
+    by_term = [np.unique(np.repeat(np.arange(600), found.room)[found.terms == t]) for t in range(width)]
+    assert all(np.array_equal(np.sort(x), y) for x, y in zip(lists, by_term))
+
+
+def test_blocks_are_skipped():
+    found, _ = segment(8, 3000)
+    scored = []
+    best = []
+
+    def take(docs, scores):
+        scored.extend(docs.tolist())
+        best[:] = sorted([*best, *scores.tolist()])[-50:]
+        return best[0] if len(best) == 50 else 1
+
+    query = np.concatenate((np.arange(0, 4), 40 + 40 * 3 + np.arange(8)))
+    found.search(query, 1, take)
+    asked = np.zeros(len(found.weights), np.int64)
+    asked[query] = 1
+    every = found.scores(np.arange(3000), asked)
+    assert sorted(best) == sorted(every.tolist())[-50:]
+    assert len(scored) == len(set(scored)) < 0.9 * (every > 0).sum()
+
+
+def test_query_against_sql(spark, tables_dir):
+    oracle = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        oracle.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tables_dir}/{name}.parquet'")
+    expected = sorted(oracle.sql(ORACLES["op11_ranked"]).fetchall())
+    assert sorted(map(tuple, op11_ranked(spark, tables_dir).collect())) == expected
