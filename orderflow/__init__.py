@@ -9,6 +9,7 @@ from orderflow.functions.rules import DEFAULT_RULES, Rule, stale_order_rule
 from orderflow.operators.accounts import (
     duplicate_accounts,
     enrich_with_account_data,
+    enrich_with_unique_accounts,
     require_unique_accounts,
 )
 from orderflow.operators.filters import successful_transactions, valid_orders
@@ -72,6 +73,7 @@ __all__ = [
     "compare_with_previous_month",
     "duplicate_accounts",
     "enrich_with_account_data",
+    "enrich_with_unique_accounts",
     "get_holding_summary",
     "get_result_summary",
     "holding_summary",

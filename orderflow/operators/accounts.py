@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ATTRIBUTES = ["customer_name", "order_limit"]
+UNKNOWN_KEYS = 64
+"""Join keys that totals of unknown accounts are dealt out to."""
+
 
 def enrich_with_account_data(
     monthly_totals: DataFrame, accounts: DataFrame, unique: bool = True
@@ -14,19 +18,49 @@ def enrich_with_account_data(
     An account listed more than once multiplies its rows. ``unique=False`` gives
     the same rows by another plan, for accounts that may be repeated very often:
     adaptive execution can split the oversized side of an inner join, but not the
-    inner side of a left join, so known and unknown accounts are joined apart. Both
-    joins use null-safe equality, which leaves the totals unfiltered, so that they
-    are computed and shuffled once where both sides are shuffled. If Spark takes the
-    accounts for small enough to be broadcast, the totals are computed for each join.
+    inner side of a left join. So each total first learns whether its account is known,
+    from the distinct ids, which are few for any number of repeats; an inner join then
+    leads known totals to their account and all others to one of ``UNKNOWN_KEYS`` rows
+    without attributes. The totals are computed once, whatever Spark broadcasts.
     """
-    attributes = accounts.select("account_id", "customer_name", "order_limit")
+    attributes = accounts.select("account_id", *ATTRIBUTES)
     if unique:
         return monthly_totals.join(attributes, "account_id", "left")
-    listed = attributes.where("account_id IS NOT NULL").withColumnRenamed("account_id", "_id")
-    same = F.expr("account_id <=> _id")
-    known = monthly_totals.join(listed, same).drop("_id")
-    unknown = monthly_totals.join(listed.select("_id").distinct(), same, "left_anti")
-    return known.unionByName(unknown, allowMissingColumns=True)
+    listed = attributes.where("account_id IS NOT NULL")
+    known = listed.select("account_id").distinct().withColumn("_known", F.lit(True))
+    place = F.pmod(F.xxhash64("account_id", "order_month"), F.lit(UNKNOWN_KEYS)).cast("int")
+    marked = monthly_totals.join(known, "account_id", "left").withColumn(
+        "_place", F.when(F.col("_known"), -1).otherwise(place)
+    )
+    kind = attributes.schema["account_id"].dataType.simpleString()
+    unknown = listed.sparkSession.range(UNKNOWN_KEYS).select(
+        F.col("id").cast("int").alias("_place"), F.lit(None).cast(kind).alias("_id")
+    )
+    rows = listed.select(F.lit(-1).alias("_place"), F.col("account_id").alias("_id"), *ATTRIBUTES)
+    rows = rows.unionByName(unknown, allowMissingColumns=True)
+    own = F.when(F.col("_place") < 0, F.col("account_id"))
+    joined = marked.withColumn("_own", own).join(
+        rows.withColumnRenamed("_place", "_row"), F.expr("_place <=> _row AND _own <=> _id")
+    )
+    return joined.select(*monthly_totals.columns, *ATTRIBUTES)
+
+
+def enrich_with_unique_accounts(
+    monthly_totals: DataFrame, accounts: DataFrame, single_month: bool
+) -> DataFrame:
+    """``enrich_with_account_data`` in a plan that fails when it runs if an account is repeated.
+
+    Totals of a single month have one row per account, so a row too many shows in the
+    joined rows themselves: they are still dealt by account, and only accounts with a total
+    are looked at. No exchange and no pass over the accounts is added, and small accounts
+    are broadcast as they are. For several months ``require_unique_accounts`` checks the
+    accounts before the join.
+    """
+    if not single_month:
+        return enrich_with_account_data(monthly_totals, require_unique_accounts(accounts))
+    enriched = enrich_with_account_data(monthly_totals, accounts.where("account_id IS NOT NULL"))
+    matches = F.count("*").over(Window.partitionBy("account_id"))
+    return _without_repeats(enriched.withColumn("_listed", matches)).drop("_listed")
 
 
 def duplicate_accounts(accounts: DataFrame) -> DataFrame:
@@ -38,16 +72,28 @@ def duplicate_accounts(accounts: DataFrame) -> DataFrame:
 def require_unique_accounts(accounts: DataFrame) -> DataFrame:
     """The accounts with an id, in a plan that fails when it runs if one is listed twice.
 
-    The rows of an account are counted in a window over the account. Its shuffle and
-    sort are those that a join by account needs, so the check adds no exchange and no
-    scan to such a join. Accounts that no join reads are not checked.
+    Rows are counted per account, and a single one is its own most frequent value. Counts
+    and values are combined before the shuffle, so the copies of an account repeated very
+    often make one row per task. The shuffle is that of a join by account, so the check
+    adds no exchange, sort or scan to such a join. Accounts that no join reads are not
+    checked.
     """
-    listed = Window.partitionBy("account_id")
-    counted = accounts.where("account_id IS NOT NULL").withColumn(
-        "_listed", F.count("*").over(listed)
+    others = [c for c in accounts.columns if c != "account_id"]
+    counted = accounts.where("account_id IS NOT NULL").groupBy("account_id").agg(
+        F.count("*").alias("_listed"), F.mode(F.struct(F.lit(True), *others)).alias("_row")
     )
+    values = {name: F.col(f"_row.`{name}`") for name in others}
+    rows = _without_repeats(counted)
+    return rows.select(*(values.get(c, F.col(c)).alias(c) for c in accounts.columns))
+
+
+def _without_repeats(counted: DataFrame) -> DataFrame:
+    """The rows as they are, or a failure when they run if ``_listed`` exceeds one."""
+    return counted.where(F.when(F.col("_listed") > 1, _failure()).otherwise(True))
+
+
+def _failure() -> Column:
     message = F.concat(
         F.lit("account listed more than once: "), F.col("account_id").cast("string")
     )
-    failure = F.raise_error(message).cast("boolean")
-    return counted.where(F.when(F.col("_listed") > 1, failure).otherwise(True)).drop("_listed")
+    return F.raise_error(message).cast("boolean")

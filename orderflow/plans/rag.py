@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.functions.months import ALL_MONTHS
 from orderflow.functions.rules import DEFAULT_RULES, Rule
-from orderflow.operators.accounts import enrich_with_account_data, require_unique_accounts
+from orderflow.operators.accounts import enrich_with_account_data, enrich_with_unique_accounts
 from orderflow.operators.payments import join_orders_with_transactions
 from orderflow.operators.rag import (
     add_limit_exceeded,
@@ -36,12 +36,13 @@ def classify_rag(
     The months are chosen after the comparison with the previous month, whose
     orders a filter on the month alone would remove.
     """
-    if unique_accounts:
-        accounts = require_unique_accounts(accounts)
     compared = add_rag_status(
         month_over_month(compare_with_previous_month(orders, target_month)), no_baseline
     )
-    enriched = enrich_with_account_data(compared, accounts, unique_accounts)
+    if unique_accounts:
+        enriched = enrich_with_unique_accounts(compared, accounts, target_month != ALL_MONTHS)
+    else:
+        enriched = enrich_with_account_data(compared, accounts, unique=False)
     return apply_validation_rules(add_limit_exceeded(enriched), rules)
 
 

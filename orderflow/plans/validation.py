@@ -7,8 +7,9 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderflow.functions.months import ALL_MONTHS
 from orderflow.functions.rules import DEFAULT_RULES, Rule
-from orderflow.operators.accounts import enrich_with_account_data, require_unique_accounts
+from orderflow.operators.accounts import enrich_with_account_data, enrich_with_unique_accounts
 from orderflow.operators.monthly import totals_of_month
 from orderflow.operators.payments import join_orders_with_transactions
 from orderflow.operators.validation import (
@@ -34,10 +35,11 @@ def classify_orders(
     repeat its rows and count its money twice, so the plan fails when it runs; with
     ``unique_accounts=False`` the rows are repeated.
     """
-    if unique_accounts:
-        accounts = require_unique_accounts(accounts)
     totals = totals_of_month(orders, target_month, with_last_order_date=True)
-    enriched = enrich_with_account_data(totals, accounts, unique_accounts)
+    if unique_accounts:
+        enriched = enrich_with_unique_accounts(totals, accounts, target_month != ALL_MONTHS)
+    else:
+        enriched = enrich_with_account_data(totals, accounts, unique=False)
     return apply_validation_rules(enriched, rules, with_violations)
 
 

@@ -7,8 +7,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderflow.functions.months import ALL_MONTHS
 from orderflow.functions.rules import DEFAULT_RULES, Rule
-from orderflow.operators.accounts import enrich_with_account_data, require_unique_accounts
+from orderflow.operators.accounts import enrich_with_account_data, enrich_with_unique_accounts
 from orderflow.operators.filters import successful_transactions, valid_orders
 from orderflow.operators.monthly import calculate_monthly_totals, totals_of_month
 from orderflow.operators.payments import join_orders_with_transactions
@@ -35,10 +36,11 @@ def register_views(
     payments = successful_transactions(spark.table(transactions))
     with_payments = join_orders_with_transactions(kept_orders, payments)
     known = spark.table(accounts)
-    if unique_accounts:
-        known = require_unique_accounts(known)
     totals = totals_of_month(with_payments, target_month, with_last_order_date=True)
-    enriched = enrich_with_account_data(totals, known, unique_accounts)
+    if unique_accounts:
+        enriched = enrich_with_unique_accounts(totals, known, target_month != ALL_MONTHS)
+    else:
+        enriched = enrich_with_account_data(totals, known, unique=False)
     validated = apply_validation_rules(enriched, rules, with_violations)
     # The names of the views.
     views = {

@@ -85,6 +85,11 @@ def _exchanges(frame) -> int:
     return len(re.findall(r"\bExchange hashpartitioning", _plan(frame)))
 
 
+def _scans(frame, column: str) -> int:
+    """Scans that read the column, in the plan that ran if it did."""
+    return len(re.findall(rf"ReadSchema: struct<[^>]*\b{column}:", _final_plan(frame)))
+
+
 def _load(spark, shop):
     return (
         of.load_orders(spark, shop["orders_path"]),
@@ -253,7 +258,62 @@ def test_repeated_account_is_split(spark, shop, settings, tmp_path):
     digest = _digest(of.enrich_with_account_data(totals, repeated, unique=False))
     assert digest.collect() == expected
     assert "skew=true" in _final_plan(digest)
-    assert "ReusedExchange" in _final_plan(digest)
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_totals_of_repeated_accounts_are_computed_once(spark, shop, settings, tmp_path, threshold):
+    settings(autoBroadcastJoinThreshold=threshold)
+    orders, _, accounts = _load(spark, shop)
+    twice = accounts.union(accounts.where("account_id < 'A3'"))
+    totals = of.calculate_monthly_totals(orders)
+    expected = rows(of.enrich_with_account_data(totals, twice))
+    apart = of.enrich_with_account_data(totals, twice, unique=False)
+    assert rows(apart) == expected
+    assert _scans(apart, "order_id") == 1
+    assert _scans(of.classify_orders(orders, twice, "ALL", unique_accounts=False), "order_id") == 1
+
+
+def test_totals_of_unknown_accounts_are_dealt_out(spark, shop, settings):
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__coalescePartitions__enabled="false",
+        shuffle__partitions="16",
+    )
+    orders, _, accounts = _load(spark, shop)
+    totals = of.calculate_monthly_totals(orders)
+    joined = of.enrich_with_account_data(totals, accounts.where("false"), unique=False)
+    counts = [len(part) for part in joined.select("order_count", "customer_name").rdd.glom().collect()]
+    assert sum(counts) == totals.count()
+    assert max(counts) < 3 * sum(counts) / 16
+
+
+@pytest.mark.parametrize("month", ["2024-03", None, "ALL"])
+def test_account_check_needs_no_sort_of_accounts(spark, shop, settings, month):
+    """With small accounts there is no sort at all but that of a single month's totals."""
+    settings(autoBroadcastJoinThreshold="10MB", maxMetadataStringLength="1000")
+    orders, _, accounts = _load(spark, shop)
+    guarded = _plan(of.require_unique_accounts(accounts))
+    assert "Sort " not in guarded and "SortAggregate" not in guarded and "Window" not in guarded
+    assert guarded.count("Exchange hashpartitioning(account_id") == 1
+    plan = _plan(of.classify_orders(orders, accounts, month))
+    below = plan[plan.index("BroadcastExchange") :]
+    assert "Sort " not in below and "Window" not in below
+    # A single month: accounts are broadcast as they are, and only the totals are shuffled.
+    assert _exchanges(of.classify_orders(orders, accounts, month)) == (2 if month == "ALL" else 1)
+
+
+def test_hot_repeated_account_fails(spark, shop, settings, tmp_path):
+    """A third of all account rows repeats one account; each task sends one row of it."""
+    settings(autoBroadcastJoinThreshold="-1")
+    orders, _, accounts = _load(spark, shop)
+    copies = accounts.where("account_id = 'A7'").crossJoin(spark.range(0, 500, 1, 4)).drop("id")
+    both = accounts.union(copies)
+    for month in ("2024-03", None, "ALL"):
+        for build in (of.classify_orders, of.classify_rag):
+            with pytest.raises(Exception, match="account listed more than once: A7"):
+                build(orders, both, month).collect()
+    with pytest.raises(Exception, match="account listed more than once: A7"):
+        of.require_unique_accounts(both).collect()
 
 
 def test_rows_without_order_id_are_dealt_out(spark, shop, settings):
@@ -269,7 +329,7 @@ def test_rows_without_order_id_are_dealt_out(spark, shop, settings):
     assert len(counts) == 16 and max(counts) < 3 * sum(counts) / 16
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(registered._QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
     frame = registered.queries()[name](spark, registered.SMALL_TABLES)
     plan = _plan(frame)
