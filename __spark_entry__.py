@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -42,15 +44,22 @@ from orderflow.operators.summaries import (  # noqa: E402
     holding_summary_total,
     result_summary,
 )
-from orderflow.plans.rag import rag_tables  # noqa: E402
+from orderflow.plans.rag import rag_tables, run_rag_analysis  # noqa: E402
 from orderflow.plans.reports import (  # noqa: E402
     ordered_holding,
     ordered_holding_summary,
     ordered_result,
 )
-from orderflow.plans.validation import classify_orders, validate_orders  # noqa: E402
+from orderflow.plans.validation import (  # noqa: E402
+    classify_orders,
+    run_pipeline,
+    validate_orders,
+)
+from orderflow.schemas import ACCOUNTS, ORDERS, TRANSACTIONS  # noqa: E402
 from orderflow.sources.catalog import register_views  # noqa: E402
+from orderflow.sources.files import load_accounts, rejected_records, write_table  # noqa: E402
 from orderflow.sources.retail import RetailTables  # noqa: E402
+from orderflow.sources.routed import read_routed, write_routed  # noqa: E402
 
 try:
     from orderflow.llm import queries as llm
@@ -71,6 +80,10 @@ TARGET_MONTH = "1998-05"
 EMPTY_MONTH = "1950-01"
 STALE_AS_OF = date(2000, 7, 1)
 RAISED_TOTAL = 300000
+KEPT_IN_MONTH = (
+    "coalesce(order_id % 2, 0) = 0 OR order_date < DATE '1998-05-01'"
+    " OR order_date >= DATE '1998-06-01'"
+)
 
 CLASSIFIED = [
     "account_id",
@@ -155,6 +168,31 @@ def _risk(t: RetailTables, with_violations: bool = False, **options) -> DataFram
     return scored.select("account_id", "order_month", "risk_score", "risk_category")
 
 
+def _risk_all_rules(t: RetailTables) -> DataFrame:
+    """Risk with 10 points for each failure; some orders a century on break every rule."""
+    planted = t.orders.where("order_id % 10 = 0").selectExpr(
+        "CAST(NULL AS BIGINT) AS order_id",
+        "CAST(NULL AS BIGINT) AS account_id",
+        "add_months(order_date, 1200) AS order_date",
+        "-abs(total_amount) AS total_amount",
+        "product_count",
+        "'COMPLETED' AS status",
+    )
+    both = _orders(t).unionByName(planted)
+    classified = classify_orders(both, t.accounts, "ALL", with_violations=True)
+    scored = calculate_customer_risk_score(classified, per_failure=True)
+    return scored.select("account_id", "order_month", "risk_score", "risk_category")
+
+
+def _risk_stale(t: RetailTables) -> DataFrame:
+    """Risk with 10 points for each failure, the stale-order rule among the rules."""
+    rules = (*DEFAULT_RULES, stale_order_rule(STALE_AS_OF))
+    scored = calculate_customer_risk_score(
+        _classified(t, rules=rules, with_violations=True), per_failure=True
+    )
+    return scored.select("account_id", "order_month", "risk_score", "risk_category")
+
+
 def _stale(t: RetailTables) -> DataFrame:
     rules = (*DEFAULT_RULES, stale_order_rule(STALE_AS_OF))
     return _classified(t, rules=rules).select(
@@ -206,6 +244,84 @@ def _reconciled_exact(t: RetailTables) -> DataFrame:
     return rows.select("order_id", "total_amount", "total_paid", "payment_status")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new path in the cluster's shared folder; without one, locally in a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not folder and master.startswith("local") and "cluster" not in master:
+        folder = tempfile.mkdtemp(prefix="orderflow-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder or spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+
+
+def _as_files(t: RetailTables, format: str) -> list[str]:
+    """Writes accounts, orders and transactions as files and returns their paths."""
+    folder = _folder(t.spark, "tables")
+    accounts = t.accounts.withColumn("status", F.lit("ACTIVE"))
+    inputs = {"accounts": (accounts, ACCOUNTS), "orders": (t.orders, ORDERS)}
+    inputs["transactions"] = (t.transactions, TRANSACTIONS)
+    for name, (table, schema) in inputs.items():
+        write_table(table, f"{folder}/{name}.{format}", schema)
+    return [f"{folder}/{name}.{format}" for name in inputs]
+
+
+def _number_key(table: DataFrame) -> DataFrame:
+    return table.withColumn("account_id", F.col("account_id").cast("bigint"))
+
+
+def _both_routes(output) -> DataFrame:
+    """Result and holding rows as one table; a result row has no reason."""
+    held = output.holding_table.drop("hold_timestamp")
+    return output.result_table.unionByName(held, allowMissingColumns=True)
+
+
+def _pipeline_of_files(t: RetailTables, format: str, month: str | None) -> DataFrame:
+    paths = _as_files(t, format)
+    output = run_pipeline(t.spark, *paths, target_month=month, money="decimal")
+    return _number_key(_both_routes(output))
+
+
+def _rag_of_json(t: RetailTables) -> DataFrame:
+    paths = _as_files(t, "json")
+    return _number_key(run_rag_analysis(t.spark, *paths, target_month="ALL", money="decimal"))
+
+
+def _accounts_of_csv(t: RetailTables) -> DataFrame:
+    accounts = _number_key(load_accounts(t.spark, _as_files(t, "csv")[0]))
+    return accounts.select("account_id", "customer_name", "order_limit", "status")
+
+
+def _rejected_of_csv(t: RetailTables) -> DataFrame:
+    """Accounts in a file whose limit is a word for every seventh of them."""
+    path = f"{_folder(t.spark, 'rejected')}/accounts.csv"
+    limit = F.when(F.col("account_id") % 7 == 0, "many").otherwise(F.col("order_limit").cast("string"))
+    columns = [F.lit(None).cast("date").alias("created_date"), F.lit("ACTIVE").alias("status")]
+    faulty = t.accounts.select("account_id", "customer_name", limit.alias("order_limit"), *columns)
+    faulty.write.option("header", True).csv(path)
+    return _number_key(rejected_records(t.spark, path, ACCOUNTS)).select("account_id", "customer_name")
+
+
+def _routed_months_replaced(t: RetailTables) -> DataFrame:
+    """All months routed to a table; then one of them anew, without its orders of odd id."""
+    path = _folder(t.spark, "routed")
+    write_routed(_classified(t), path, by_month=True)
+    corrected = classify_orders(_orders(t).where(KEPT_IN_MONTH), t.accounts, TARGET_MONTH)
+    write_routed(corrected, path, by_month=True, mode="replace")
+    return _both_routes(read_routed(t.spark, path))
+
+
+def _routed_counts(t: RetailTables) -> DataFrame:
+    """Rows of every reason as the sink reported and as the table holds them."""
+    path = _folder(t.spark, "routed")
+    said = write_routed(_classified(t), path)
+    reported = [(None, said["result"]["total_records"]), *said["holding"]["by_reason"].items()]
+    reported = t.spark.createDataFrame(reported, "reason string, reported bigint")
+    stored = _both_routes(read_routed(t.spark, path)).groupBy("hold_reason")
+    stored = stored.agg(F.count("*").alias("stored"), F.sum("order_count").alias("orders"))
+    joined = stored.join(reported, F.expr("hold_reason <=> reason"), "full")
+    return joined.select("hold_reason", "stored", "orders", "reported")
+
+
 _QUERIES: dict[str, Callable[[RetailTables], DataFrame]] = {
     "valid_orders": _orders,
     "successful_transactions": lambda t: successful_transactions(t.transactions),
@@ -263,6 +379,16 @@ _QUERIES: dict[str, Callable[[RetailTables], DataFrame]] = {
     "customer_risk_score": _risk,
     "customer_risk_score_raised_total": lambda t: _risk(t, large_total=RAISED_TOTAL),
     "customer_risk_score_per_failure": lambda t: _risk(t, with_violations=True, per_failure=True),
+    "customer_risk_score_all_rules": _risk_all_rules,
+    "customer_risk_score_stale": _risk_stale,
+    "loaded_accounts_csv": _accounts_of_csv,
+    "rejected_accounts_csv": _rejected_of_csv,
+    "run_pipeline_csv": lambda t: _pipeline_of_files(t, "csv", "ALL"),
+    "run_pipeline_json": lambda t: _pipeline_of_files(t, "json", TARGET_MONTH),
+    "run_pipeline_parquet": lambda t: _pipeline_of_files(t, "parquet", None),
+    "run_rag_analysis_json": _rag_of_json,
+    "routed_months_replaced": _routed_months_replaced,
+    "routed_counts": _routed_counts,
     "stale_orders": _stale,
     "duplicate_accounts": lambda t: duplicate_accounts(_with_repeats(t)),
 }
@@ -474,10 +600,32 @@ def oracle_sql() -> dict[str, str]:
             COALESCE(hold_reason, CASE WHEN last_order_date < {stale_day}
                                        THEN 'STALE_ORDER_DATE' END) AS hold_reason
             FROM checked""",
+        "customer_risk_score_stale": risk(
+            10000, f"{each} + CASE WHEN last_order_date < {stale_day} THEN 10 ELSE 0 END"
+        ),
+        "loaded_accounts_csv": """SELECT account_id, customer_name, order_limit,
+            'ACTIVE' AS status FROM acc""",
+        "rejected_accounts_csv": """SELECT account_id, customer_name FROM acc
+            WHERE account_id % 7 = 0""",
+        "run_pipeline_csv": f"SELECT {enriched}, hold_reason FROM checked",
+        "run_pipeline_json": f"SELECT {enriched}, hold_reason FROM checked WHERE {target}",
+        "run_pipeline_parquet": f"SELECT {enriched}, hold_reason FROM checked WHERE {latest}",
+        "run_rag_analysis_json": f"SELECT order_month, {rag} FROM checked WHERE {valid}",
+        "routed_counts": """SELECT hold_reason, COUNT(*) AS stored,
+            CAST(SUM(order_count) AS BIGINT) AS orders, COUNT(*) AS reported
+            FROM checked GROUP BY 1""",
         "duplicate_accounts": """SELECT account_id, COUNT(*) AS account_rows FROM repeated
             GROUP BY account_id HAVING COUNT(*) > 1""",
     }
+    kept = "good AS (SELECT * FROM ord WHERE status IN ('COMPLETED', 'PENDING'))"
+    assert kept in MAPPING
+    corrected = MAPPING.replace(kept, f"{kept[:-1]} AND ({KEPT_IN_MONTH}))")
+    planted = f"""{kept[:-1]} UNION ALL
+      SELECT NULL, NULL, CAST(order_date + INTERVAL 1200 MONTH AS DATE), -abs(total_amount),
+             product_count, 'COMPLETED' FROM ord WHERE order_id % 10 = 0)"""
     found = {name: MAPPING + body for name, body in bodies.items()}
+    found["routed_months_replaced"] = corrected + bodies["validated_all_months"]
+    found["customer_risk_score_all_rules"] = MAPPING.replace(kept, planted) + risk(10000, each)
     if llm:
         found |= llm.ORACLES
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:

@@ -55,6 +55,7 @@ from orderflow.sources.files import (
     load_orders,
     load_transactions,
     rejected_records,
+    write_table,
 )
 from orderflow.sources.routed import read_routed, write_routed
 
@@ -109,4 +110,5 @@ __all__ = [
     "valid_orders",
     "validate_orders",
     "write_routed",
+    "write_table",
 ]

@@ -96,3 +96,15 @@ PAYMENTS = {"NO_PAYMENT": 2698, "UNDERPAID": 5656, "OVERPAID": 1558}
 def test_known_counts(spark, name, column, counts):
     grouped = registered.queries()[name](spark, DIRECTORY).groupBy(column).count()
     assert {row[column]: row["count"] for row in grouped.collect()} == counts
+
+
+def _bands(spark, name):
+    grouped = registered.queries()[name](spark, DIRECTORY).groupBy("risk_category").count()
+    return {row["risk_category"]: row["count"] for row in grouped.collect()}
+
+
+@pytest.mark.parametrize("name", ["customer_risk_score_all_rules", "customer_risk_score_stale"])
+def test_high_risk_by_default_bands(spark, name):
+    """The highest band is reached with the default bands, by every rule or by a sixth one."""
+    assert _bands(spark, name)["HIGH_RISK"] > 0
+    assert "HIGH_RISK" not in _bands(spark, "customer_risk_score")

@@ -55,6 +55,49 @@ def files(tmp_path):
     return paths
 
 
+@pytest.mark.parametrize("suffix", ["csv", "json"])
+def test_rejected_records_whatever_is_read(spark, tmp_path, suffix):
+    """A record is unreadable or not, whichever of its columns a query asks for."""
+    path = tmp_path / f"accounts.{suffix}"
+    if suffix == "csv":
+        path.write_text(ACCOUNT_LINES)
+    else:
+        path.write_text(
+            '{"account_id":"A1","order_limit":1}\n{"account_id":"A2","order_limit":2}\n'
+            '{"account_id":"A3","order_limit":"abc"}\n'
+        )
+    rejected = of.rejected_records(spark, str(path), ACCOUNTS)
+    assert rejected.count() == 1
+    assert rows(rejected, "account_id") == [("A3",)]
+    assert rejected.select("status").count() == 1
+    kept = of.load_accounts(spark, str(path), reject_corrupt=True)
+    assert kept.count() == 2
+    assert rows(kept, "account_id") == [("A1",), ("A2",)]
+    both = of.load_accounts(spark, str(path), keep_corrupt=True)
+    assert both.where("_corrupt_record IS NULL").select("account_id").count() == 2
+
+
+@pytest.mark.parametrize("suffix", ["csv", "json", "parquet", "csv.gz"])
+def test_written_tables_are_read_back(spark, tmp_path, suffix):
+    accounts = spark.createDataFrame(
+        [("A1", "Ann, \"B\"", 1), ("A2", None, None), (None, "é\u00a0x", -3)],
+        "account_id string, customer_name string, order_limit int",
+    )
+    orders = spark.createDataFrame(
+        [("O1", "A1", date(2024, 1, 2), Decimal("100.10"), 3, "COMPLETED"), (None, None, None, None, None, "PENDING")],
+        "order_id string, account_id string, order_date date, total_amount decimal(18,2), product_count int, status string",
+    )
+    options = {"compression": "gzip"} if suffix.endswith("gz") else {}
+    of.write_table(accounts, f"{tmp_path}/accounts.{suffix}", ACCOUNTS, **options)
+    of.write_table(orders, f"{tmp_path}/orders.{suffix}", ORDERS, **options)
+    found = of.load_accounts(spark, f"{tmp_path}/accounts.{suffix}")
+    assert found.columns == ACCOUNTS.names
+    assert rows(found, *accounts.columns) == rows(accounts)
+    assert rows(of.load_orders(spark, f"{tmp_path}/orders.{suffix}", money="decimal")) == rows(orders)
+    with pytest.raises(Exception, match="already exists"):
+        of.write_table(accounts, f"{tmp_path}/accounts.{suffix}", ACCOUNTS)
+
+
 def test_csv_tables(spark, files):
     orders = of.load_orders(spark, files["orders_path"])
     assert rows(orders, "order_id", "order_date", "total_amount")[0] == (
