@@ -126,8 +126,9 @@ class Vocabulary:
             symbols, ranks = symbols[keep], ranks[keep]
             last = np.zeros(len(symbols), bool)
             last[np.cumsum(lengths) - 1] = True
-            touched = np.unique(np.concatenate((moved, moved[moved > 0] - 1)))
-            touched = touched[~last[touched]]
+            changed = np.zeros(len(symbols), bool)
+            changed[moved] = changed[moved[moved > 0] - 1] = True
+            touched = np.flatnonzero(changed & ~last)
             ranks[touched] = self._ranks_of(symbols[touched], symbols[touched + 1])
             ranks[last] = NONE
         return out
