@@ -85,7 +85,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.scored(documents.select("doc_id", "text"), machine)
     return scored.select(
         "doc_id",
-        (remainder(F.col("doc_id")) == 0).alias("held_out"),
+        F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
         "toxic_word",

@@ -6,14 +6,19 @@ letters put in between, dots, or other endings lower the value without voiding i
 start of a word counts as a letter. Values are divided by the lengths of both words in
 feature space. Single letters that stand apart ("i d i o t") are read as one word.
 
-**Training.** Sentences take the label of their document. Its witness is the word that
-tells its label best: for a toxic document the word whose share among toxic documents
-most exceeds that among others, also in altered forms (dots, a hyphen, a doubled letter);
-for a clean one the words that the machine of the round before finds worst. Words of clean documents are added by hash. Landmarks are a part of
-these words, K(words, landmarks) K(landmarks, landmarks)^-1/2 are the Nyström features,
-and a linear machine is trained on them by coordinate descent in the dual. A sentence is
-as toxic as its worst word, a document as its worst sentence; Platt's logistic curve turns
-that into a probability.
+**Training.** Rows are sentences with the label of their document. A sentence is as toxic as
+its worst word, so what a toxic sentence teaches is its witness: the word whose share among
+toxic documents most exceeds that among others. A witness stands in ``SUPPORT`` toxic documents
+at least that are no near copies of each other (told by the least hash of their words); a
+sentence without one teaches nothing, as a label alone doesn't say which word it is for. A
+witness is learnt in altered forms too: with dots, spaces or a hyphen between its letters, a
+letter twice or a foreign letter inside. From clean sentences come words by hash, and in each
+round the words that the machine of the round before finds worst, which are look-alikes.
+Landmarks are a part of these words, K(words, landmarks) K(landmarks, landmarks)^-1/2 are the
+Nyström features, and a linear machine is trained on them by coordinate descent in the dual.
+A document is as toxic as its worst sentence; Platt's logistic curve, fitted on documents
+that are clean or hold a witness, turns that into a probability. Its middle lies inside of the
+machine's margin, so that a word beyond the margin counts as toxic.
 
 **Scoring.** The machine's value of a word is linear in its subsequences, so weights of
 landmarks are summed into one weight for each of the 32^3 subsequences, and whole batches
@@ -42,9 +47,16 @@ GAP = 31
 SAMPLE = 16_000
 """Labelled documents that the machine is trained on, at most."""
 CLEAN_WORDS = 6_000
-LANDMARKS = 256
+LANDMARKS = 384
 ROUNDS = 3
-COST = 5.0
+COST = 20.0
+MOST = 30
+SUPPORT = 5
+ODDS = 4.5
+MIDDLE = (-0.5, 0.9)
+"""Where the curve's middle may lie; the machine's margin is from -1 to 1."""
+FOREIGN = "xzqk"
+"""Letters that are put into witnesses."""
 PLACES = 1 << 20
 """Bytes of text that are scored at once; each takes about 35 bytes of memory meanwhile."""
 
@@ -192,23 +204,32 @@ class Machine:
 
 
 def altered(word: str) -> list[str]:
-    """The word with dots between its letters, with a hyphen, and with a letter twice."""
+    """The word with dots, spaces or a hyphen, with a letter twice, and with foreign letters."""
     middle = len(word) // 2
-    return [
+    forms = [
         ".".join(word),
+        " ".join(word) if word.isascii() and word.isalpha() else word,
         f"{word[:middle]}-{word[middle:]}",
         f"{word[:middle]}{word[middle - 1 : middle]}{word[middle:]}",
     ]
+    return forms + [word[:n] + c + word[n:] for n in range(1, len(word)) for c in FOREIGN]
 
 
-def train(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> Machine:
-    """A machine that tells the positive words, also altered ones, from the negative ones."""
+def train(
+    positive: list[str],
+    negative: list[str],
+    landmarks: int = LANDMARKS,
+    times: dict[str, int] | None = None,
+) -> Machine:
+    """A machine that tells the positive words, also altered ones, from the negative ones.
+
+    ``times`` tells in how many sentences a word was met; it counts so often, ``MOST`` at most.
+    """
     if not positive:
         return Machine([], np.zeros(0), -1.0, np.zeros(CODES**3, np.float32))
     variants = [v for word in positive for v in altered(word) if len(word) > 3]
     words = positive + variants + negative
-    half = landmarks // 2
-    chosen = [*range(min(half, len(positive)))]
+    chosen = [*range(min(landmarks // 2, len(positive)))]
     first = len(positive) + len(variants)
     chosen += [first + n for n in range(min(landmarks - len(chosen), len(negative)))]
     base = features([words[n] for n in chosen])
@@ -219,7 +240,8 @@ def train(positive: list[str], negative: list[str], landmarks: int = LANDMARKS)
     y = np.array([1.0] * first + [-1.0] * len(negative))
     balance = max(1.0, len(negative) / first)
     x = np.hstack((nystroem, np.ones((len(words), 1))))
-    found = svm(x, y, np.where(y > 0, COST * balance, COST))
+    often = np.array([min(MOST, (times or {}).get(word, 1)) for word in words], float)
+    found = svm(x, y, often * np.where(y > 0, COST * balance, COST))
     weights = root @ found[:-1]
     return Machine([words[n] for n in chosen], weights, float(found[-1]), (weights @ base).astype(np.float32))
 
@@ -244,60 +266,85 @@ def platt(evidence: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 WORD = r"[^\s.,;:!?\"()\[\]{}#$%&*|<>]+"
 
 
-def _witnesses(rows: DataFrame) -> DataFrame:
-    """``word, times``: the most telling word of each toxic document, and how many chose it."""
-    words = rows.select(
-        "doc_id", "label", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower(text), r'{WORD}', 0)"))).alias("word")
-    ).where(F.length("word").between(2, 40))
-    toxic = F.sum(F.when(F.col("label") > 0, 1).otherwise(0))
-    counted = words.groupBy("word").agg(toxic.alias("toxic"), F.count("*").alias("docs"))
-    total = rows.agg(
-        F.sum(F.when(F.col("label") > 0, 1).otherwise(0)).alias("toxic"), F.count("*").alias("docs")
-    ).first()
+def sentences(rows: DataFrame) -> DataFrame:
+    """``doc_id, label, sentence`` of ``doc_id, label, text``."""
+    parts = F.split("text", r"(?<=[.!?])\s+|\n+")
+    return rows.select("doc_id", "label", F.explode(parts).alias("sentence")).where("sentence <> ''")
+
+
+def _words(rows: DataFrame, column: str) -> DataFrame:
+    """``doc_id, label, word`` for all words of a column, each once a row."""
+    found = F.array_distinct(F.expr(f"regexp_extract_all(lower({column}), r'{WORD}', 0)"))
+    words = rows.select("doc_id", "label", F.explode(found).alias("word"))
+    return words.where(F.length("word").between(2, 40))
+
+
+def witnesses(rows: DataFrame) -> DataFrame:
+    """``word, odds, times``: telling words of toxic sentences, and in how many they are that."""
+    words = _words(sentences(rows), "sentence").distinct()
+    alike = words.groupBy("doc_id").agg(F.min(F.xxhash64("word")).alias("alike"))
+    words = words.join(alike, "doc_id")
+    toxic = F.when(F.col("label") > 0, F.col("alike"))
+    counted = words.groupBy("word").agg(
+        F.count_distinct(toxic).alias("toxic"), F.count_distinct("alike").alias("docs")
+    )
+    total = words.agg(F.count_distinct(toxic).alias("toxic"), F.count_distinct("alike").alias("docs")).first()
     t, d = total["toxic"] or 0, total["docs"]
     odds = F.log((F.col("toxic") + 0.1) / (t + 1)) - F.log(
         (F.col("docs") - F.col("toxic") + 0.1) / (d - t + 1)
     )
-    telling = counted.where("toxic > 0").select("word", odds.alias("odds")).where("odds > 2")
+    telling = counted.where(F.col("toxic") >= SUPPORT).select("word", odds.alias("odds"))
+    telling = telling.where(F.col("odds") > ODDS)
+    toxic_rows = sentences(rows.where("label > 0")).withColumn("n", F.monotonically_increasing_id())
     best = (
-        words.where("label > 0")
+        _words(toxic_rows.withColumn("doc_id", F.col("n")), "sentence")
         .join(telling, "word")
         .groupBy("doc_id")
         .agg(F.max(F.struct("odds", "word")).alias("best"))
     )
-    return best.groupBy(F.col("best.word").alias("word")).agg(F.count("*").alias("times"))
+    return best.groupBy(F.col("best.word").alias("word")).agg(
+        F.max("best.odds").alias("odds"), F.count("*").alias("times")
+    )
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """A machine trained on a bounded sample of labelled documents outside fold 0.
 
-    Equal texts of one label count once. Only words reach the driver: a witness for each
-    toxic document, the worst word of each clean one, and ``CLEAN_WORDS`` more.
+    Equal texts of one label count once. Only words reach the driver: the witnesses of toxic
+    sentences, the worst words of clean ones, and ``CLEAN_WORDS`` more.
     """
     rows = labelled(documents, labels, "toxic", sample)
     rows = rows.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("label").alias("label"))
     rows = staged(rows.where("text IS NOT NULL"), "toxicity-sample")
-    found = _witnesses(rows).collect()
+    found = witnesses(rows).collect()
     positive = [r.word for r in sorted(found, key=lambda r: (-r.times, r.word))]
     if not positive:
         return train([], [])
-    clean = rows.where("label = 0").select(
-        F.explode(F.expr(f"regexp_extract_all(lower(text), r'{WORD}', 0)")).alias("word")
-    )
-    clean = clean.where(F.length("word").between(2, 40)).distinct()
+    clean = sentences(rows.where("label = 0")).select("label", F.col("sentence").alias("text"))
+    clean = staged(clean, "toxicity-sentences")
     known = set(positive)
-    chosen = slices(clean, F.col("word"), CLEAN_WORDS).collect()
+    every = _words(clean.withColumn("doc_id", F.lit(0)), "text").select("word").distinct()
+    chosen = slices(every, F.col("word"), CLEAN_WORDS).collect()
     negative = sorted({r.word for r in chosen} - known, key=lambda w: (hash_of(w), w))
+    times = {r.word: r.times for r in found}
     for _ in range(ROUNDS):
-        machine = train(positive, negative)
-        judged = _judged(rows, machine)
-        worst = judged.where("label = 0 AND evidence > -0.8").groupBy("word").count().collect()
-        new = {r.word.lower() for r in worst} - known - set(negative)
-        negative += sorted(new, key=lambda w: (hash_of(w), w))[: CLEAN_WORDS // 2]
-    machine = train(positive, negative)
-    values = _judged(rows, machine).select("label", "evidence").collect()
+        machine = train(positive, negative, times=times)
+        judged = _judged(clean, machine).where("evidence > -0.8").groupBy(F.lower("word").alias("word"))
+        worst = judged.agg(F.max("evidence").alias("e"), F.count("*").alias("times"))
+        worst = worst.orderBy(F.desc("e"), "word").limit(CLEAN_WORDS).collect()
+        times |= {r.word: max(r.times, times.get(r.word, 0)) for r in worst if r.word not in known}
+        # Look-alikes come first, since the first words become landmarks.
+        new = dict.fromkeys(r.word for r in worst if r.word not in known)
+        negative = [*new, *(w for w in negative if w not in new)]
+    machine = train(positive, negative, times=times)
+    telling = F.exists(
+        F.expr(f"regexp_extract_all(lower(text), r'{WORD}', 0)"), lambda w: w.isin(positive)
+    )
+    judged = rows.where((F.col("label") == 0) | telling)
+    values = _judged(judged, machine).select("label", "evidence").collect()
     y = np.array([r.label for r in values], float)
     slope, middle = platt(np.array([r.evidence for r in values]), y)
+    middle = min(max(middle, MIDDLE[0]), MIDDLE[1])
     return Machine(
         machine.landmarks, machine.weights, machine.offset, machine.subsequences, slope, middle
     )

@@ -77,5 +77,61 @@ def test_held_out_documents(spark):
     rows = op1_toxicity(spark, BIG).where("held_out").join(labels, "doc_id").collect()
     toxic = [r.predicted for r in rows if r.toxic]
     clean = [r.predicted for r in rows if not r.toxic]
-    assert sum(toxic) / len(toxic) > 0.7
-    assert sum(clean) / len(clean) < 0.05
+    assert sum(toxic) / len(toxic) >= 0.9
+    assert sum(toxic) / (sum(toxic) + sum(clean)) >= 0.9
+
+
+@pytest.fixture(scope="module")
+def machine(spark):
+    tables = [spark.read.parquet(f"{BIG}/{name}.parquet") for name in ("documents", "labels")]
+    return t.fit(*tables), *tables
+
+
+INSULTS = "trash pathetic idiot disgusting worthless stupid loser clown scum moron".split()
+
+
+@pytest.mark.skipif(not os.path.isdir(BIG), reason="no such table")
+def test_altered_insults(machine):
+    """Every plain, shouted, hyphenated and doubled form is caught, and most of the gapped ones."""
+    found = {}
+    for word in INSULTS:
+        middle = len(word) // 2
+        forms = {
+            "plain": word, "upper": word.upper() + "!", "hyphen": f"{word[:middle]}-{word[middle:]}",
+            "double": word[:middle] + word[middle - 1 :], "star": f"{word[:middle]}*{word[middle:]}",
+            "dots": ".".join(word), "spaces": " ".join(word), "letter": f"{word[:middle]}x{word[middle:]}",
+        }
+        evidence, _ = machine[0].evidence([f"the {form} of it" for form in forms.values()])
+        for form, p in zip(forms, machine[0].probabilities(evidence).tolist()):
+            found.setdefault(form, []).append(p >= 0.5)
+    assert all(all(found[form]) for form in ("plain", "upper", "hyphen", "double", "star"))
+    assert min(sum(found[form]) for form in ("dots", "spaces", "letter")) >= 8
+    plain = "the of because person motion under string house water reading".split()
+    assert machine[0].probabilities(machine[0].evidence(plain)[0]).max() < 0.5
+
+
+@pytest.mark.skipif(not os.path.isdir(BIG), reason="no such table")
+def test_witnesses_stand_in_several_documents(spark, machine):
+    from orderflow.llm.common import labelled
+
+    _, documents, labels = machine
+    rows = labelled(documents, labels, "toxic", t.SAMPLE).where("text IS NOT NULL").cache()
+    toxic = [set(x.text.lower().split()) for x in rows.where("label > 0").collect()]
+    words = [r.word for r in t.witnesses(rows).collect()]
+    assert set(INSULTS) <= set(words)
+    for word in words:
+        assert sum(any(word in w for w in own) for own in toxic) >= t.SUPPORT, word
+
+
+def test_sentences(spark):
+    rows = spark.createDataFrame([(1, 1, "One two. Three! Four\nfive? six"), (2, 0, ""), (3, 0, "a.b")], "doc_id long, label int, text string")
+    found = sorted((r.doc_id, r.sentence) for r in t.sentences(rows).collect())
+    assert found == [(1, "Four"), (1, "One two."), (1, "Three!"), (1, "five?"), (1, "six"), (3, "a.b")]
+
+
+def test_null_id_is_not_held_out(spark, tmp_path):
+    rows = [(None, "hello", "en", "x", 5), (1, None, "en", "x", 0), (1, None, "en", "x", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, toxicity long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = op1_toxicity(spark, str(tmp_path)).collect()
+    assert len(found) == 3 and {r.held_out for r in found if r.doc_id is None} == {False}
