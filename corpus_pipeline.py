@@ -6,6 +6,9 @@ Each stage works on all that the one before kept. All but the last return the co
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,23 +19,41 @@ from orderflow.llm.queries import tokenizer_file
 MOST_TOXIC = 0.5
 
 
+def kept_by(stage: Callable) -> Callable:
+    """A stage that sees only id and text; other columns pass it by, whatever their names are."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        aside = [F.col(f"`{c}`").alias(f"_aside_{n}") for n, c in enumerate(others)]
+        found = stage(spark, docs.select("doc_id", "text", *aside), sf_dir)
+        back = {c: F.col(f"_aside_{n}").alias(c) for n, c in enumerate(others)}
+        return found.select(*(back.get(c, F.col(c)) for c in map(str, docs.columns)))
+
+    return run
+
+
+@kept_by
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string-kernel machine finds less toxic than ``MOST_TOXIC``."""
     machine = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return toxicity.scored(docs, machine).where(F.col("toxicity") < MOST_TOXIC).select(docs.columns)
 
 
+@kept_by
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither a base rule nor the trees reject."""
     trees = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.scored(docs, trees).where("kept").select(docs.columns)
 
 
+@kept_by
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of 90 % common shingles join."""
     return jaccard.representatives(docs)
 
 
+@kept_by
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     found = decontamination.with_matches(docs, read(spark, sf_dir, "benchmark"))
