@@ -383,7 +383,10 @@ def representatives(
         F.min("component_id").alias("component"), F.count("*").alias("times")
     )
     found = staged(found.where("component <> id OR times > 1"), "jaccard-touched")
-    rows = documents.withColumnRenamed(key, "id")
+    aside = {c: f"_other_{n}" for n, c in enumerate(columns) if c != key}
+    rows = documents.select(
+        F.col(key).alias("id"), *(F.col(f"`{c}`").alias(name) for c, name in aside.items())
+    )
     alone = rows.where("id IS NULL")
     rows = rows.where("id IS NOT NULL")
     rest = _near_slots(rows, found, "left_semi").join(
@@ -397,4 +400,4 @@ def representatives(
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    return whole.withColumnRenamed("id", key).select(*columns)
+    return whole.select(*(F.col(aside.get(c, "id")).alias(c) for c in columns))

@@ -63,3 +63,43 @@ def test_odd_documents(spark, tables_dir):
     )
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs.where("false"), tables_dir).collect() == []
+
+
+CLASHING = [
+    "id", "label", "toxicity", "toxic_word", "kept", "n_words", "word_chars", "features",
+    "quality_score", "base_failed", "matches", "component", "component_id", "n_shingles", "times",
+    "_row", "ids", "a.b", "lang",
+]
+
+
+def test_columns_named_like_those_of_operators(spark, tables_dir):
+    """Columns of any name pass all four stages with their values and types."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{tables_dir}/documents.parquet").select("doc_id", "text")
+    extra = [F.concat(F.lit(f"{n} "), F.col("doc_id")).alias(n) for n in CLASHING]
+    docs = docs.select(extra[0], "doc_id", *extra[1:4], "text", *extra[4:])
+    plain = docs.select("doc_id", "text")
+    schema = docs.schema
+    for _, stage in pipeline.STAGES[:-1]:
+        found = stage(spark, docs, tables_dir)
+        assert found.schema.names == schema.names
+        assert [f.dataType for f in found.schema] == [f.dataType for f in schema]
+        docs = spark.createDataFrame(found.collect(), schema)
+        plain = spark.createDataFrame(stage(spark, plain, tables_dir).collect(), plain.schema)
+    rows = docs.collect()
+    assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in CLASHING)
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect())
+
+
+def test_representatives_keep_a_column_called_id(spark):
+    from orderflow.llm import jaccard
+
+    text = " ".join(f"w{n}" for n in range(20))
+    rows = [(1, text, 7), (2, text, 8), (2, text, 8), (None, text, 9), (3, "other", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id int")
+    found = jaccard.representatives(docs)
+    assert found.columns == docs.columns
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(
+        map(str, [(1, text, 7), (None, text, 9), (3, "other", None)])
+    )
