@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,23 +99,39 @@ class Reader:
     def __init__(self) -> None:
         self.blocks: list[tuple[str, int]] = []
         self.stack: list[tuple[str, bool, bool]] = []
+        self.open: Counter[str] = Counter()
+        self.furniture = self.inside = 0
         self.text: list[str] = []
 
+    def _push(self, tag: str, furniture: bool) -> None:
+        self.stack.append((tag, furniture, tag in MAIN))
+        self.open[tag] += 1
+        self.furniture += furniture
+        self.inside += tag in MAIN
+
+    def _cut(self, n: int) -> None:
+        """Leaves the first n open elements."""
+        for tag, furniture, main in self.stack[n:]:
+            self.open[tag] -= 1
+            self.furniture -= furniture
+            self.inside -= main
+        del self.stack[n:]
+
     def _end_block(self) -> None:
         text = " ".join(html.unescape("".join(self.text)).split())
         self.text.clear()
         if text:
-            furniture = any(s[1] for s in self.stack)
-            inside = any(s[2] for s in self.stack)
-            self.blocks.append((text, DROPPED if furniture else KEPT if inside else OPEN))
+            self.blocks.append((text, DROPPED if self.furniture else KEPT if self.inside else OPEN))
 
     def _close(self, tag: str) -> None:
+        if not self.open[tag]:
+            return
         for n in range(len(self.stack) - 1, -1, -1):
             if self.stack[n][0] == tag:
                 special = any(s[1] or s[2] or s[0] in BLOCKS for s in self.stack[n:])
                 if special:
                     self._end_block()
-                del self.stack[n:]
+                self._cut(n)
                 return
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -125,14 +142,14 @@ class Reader:
             for n in range(len(self.stack) - 1, -1, -1):
                 name = self.stack[n][0]
                 if name in CLOSES[tag]:
-                    del self.stack[n:]
+                    self._cut(n)
                     break
                 if name in BLOCKS or self.stack[n][1]:
                     break
         elif tag in BLOCKS and self.stack and self.stack[-1][0] == "p":
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
         if tag not in VOID and not attributes.rstrip().endswith("/"):
-            self.stack.append((tag, furniture, tag in MAIN))
+            self._push(tag, furniture)
 
     def read(self, page: str) -> list[tuple[str, int]]:
         at = 0
@@ -169,6 +186,37 @@ def page_blocks(page: str | None) -> tuple[list[str], list[int]]:
     return [text for text, _ in found], [kind for _, kind in found]
 
 
+def _lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How long a common subsequence of ``x`` and each beginning of ``y`` can be."""
+    row = np.zeros(len(y) + 1, np.int32)
+    for value in x.tolist():
+        row[1:] = np.maximum.accumulate(np.where(y == value, row[:-1] + 1, row[1:]))
+    return row
+
+
+def longest_common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places of ``x`` that a longest common subsequence with ``y`` uses.
+
+    ``x`` is halved, and ``y`` cut where the lengths of both sides sum to the most, so only
+    single rows of lengths are kept.
+    """
+    found, waiting = [], [(0, len(x), 0, len(y))]
+    while waiting:
+        a, b, c, d = waiting.pop()
+        if a == b or c == d:
+            continue
+        if b - a == 1:
+            if (y[c:d] == x[a]).any():
+                found.append(a)
+            continue
+        half = (a + b) // 2
+        before = _lengths(x[a:half], y[c:d])
+        after = _lengths(x[half:b][::-1], y[c:d][::-1])[::-1]
+        cut = c + int(np.argmax(before + after))
+        waiting += [(half, b, cut, d), (a, half, c, cut)]
+    return np.array(sorted(found), np.int64)
+
+
 def common_places(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which places of ``a`` a longest common subsequence with ``b`` uses."""
     shared = np.zeros(len(a), bool)
@@ -183,21 +231,7 @@ def common_places(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     rows = np.flatnonzero(np.isin(a[head : len(a) - tail], b[head : len(b) - tail])) + head
     x, y = a[rows], b[head : len(b) - tail]
     y = y[np.isin(y, x)]
-    if len(x) and len(y):
-        # Lengths for all suffixes: each row is a running maximum from the right.
-        table = np.zeros((len(x) + 1, len(y) + 1), np.int32)
-        for i in range(len(x) - 1, -1, -1):
-            step = np.where(y == x[i], table[i + 1, 1:] + 1, table[i + 1, :-1])
-            table[i, :-1] = np.maximum.accumulate(np.maximum(step, 0)[::-1])[::-1]
-        i = j = 0
-        while i < len(x) and j < len(y):
-            if x[i] == y[j]:
-                shared[rows[i]] = True
-                i, j = i + 1, j + 1
-            elif table[i + 1, j] >= table[i, j + 1]:
-                i += 1
-            else:
-                j += 1
+    shared[rows[longest_common(x, y)]] = True
     return shared
 
 

@@ -111,3 +111,40 @@ def test_query(spark, tables_dir):
     for r in rows:
         assert (r.url, r.text) == (pages[r.page_id].url, plain(pages[r.page_id].html))
         assert r.n_chars == len(r.text)
+
+
+def test_longest_common_places_of_long_pages():
+    """Twenty thousand lines on both sides need rows of lengths only, not a table of them."""
+    import tracemalloc
+
+    draw = np.random.default_rng(6)
+    x, y = (draw.integers(0, 300, 4000).astype(np.uint64) for _ in range(2))
+    tracemalloc.start()
+    found = html.longest_common(x, y)
+    assert tracemalloc.get_traced_memory()[1] < 4 << 20
+    tracemalloc.stop()
+    assert len(found) == html._lengths(x, y)[-1]
+    rest = iter(y.tolist())
+    assert all(v in rest for v in x[found].tolist())
+    many = np.arange(20_000).astype(np.uint64)
+    own = np.concatenate((many, [1, 2]))
+    assert html.common_places(own, np.concatenate(([7], many))).sum() == 20_000
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "deep",
+        "<div><p>x" * 60_000 + "</div>" * 60_000,
+        "<ul><li>a" * 50_000,
+        "<span>" * 100_000 + "</b>" * 100_000 + "end",
+        "<article>" + "<section>t" * 60_000 + "</article>" + "<p>out</p>" * 1000,
+    ],
+)
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    start = time.perf_counter()
+    blocks, _ = html.page_blocks(page)
+    assert time.perf_counter() - start < 5
+    assert blocks
