@@ -10,7 +10,7 @@ that bound are dropped, and the text of the others is aligned with the window in
 Both sides are compared in lower case with single spaces between words. Matching runs over
 flat arrays of a batch of texts: rolling hashes of all q-grams, a bit table to drop most of
 them, and binary search for the rest. The benchmark is worked through in blocks of bounded
-size; each is sent to the workers once, and each adds one pass within the same scan.
+size, one after the other; each is sent to the workers once and let go.
 
 Null and empty texts hold no passage; a null or empty item occurs nowhere. An item shorter
 than ``Q`` is searched for as it is. Texts are never cut. Repeated rows and repeated
@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import with_columns
+from orderflow.llm.common import staged, with_columns
 
 Q = 10
 RATE = 0.08
@@ -243,21 +245,39 @@ def with_matches(
     item_text: str = "text",
     block: int = BLOCK,
 ) -> DataFrame:
-    """The rows with ``matches``: the best passage of each item that occurs in the text."""
+    """The rows with ``matches``: the best passage of each item that occurs in the text.
+
+    One block of items is searched within the scan of the documents. With more, the rows are
+    numbered and written once, and each block in turn leaves the matches of the rows that
+    have any, so workers hold one index at a time however large the benchmark is.
+    """
     context = documents.sparkSession.sparkContext
-    known = benchmark.where(F.col(item).isNotNull())
     found = documents.drop("matches") if text != "matches" else documents
-    names = []
-    for n, items in enumerate(blocks(known, item, item_text, block)):
-        index = context.broadcast(Index(items))
-        names.append(f"_matches_{n}")
+    parts = blocks(benchmark.where(F.col(item).isNotNull()), item, item_text, block)
 
-        def start(index=index):
+    def searched(rows: DataFrame, index) -> DataFrame:
+        def start():
             return lambda texts: [passages(index.value, texts)]
 
-        found = with_columns(found, [text], f"`{names[-1]}` array<{MATCH}>", start)
+        return with_columns(rows, [text], f"matches array<{MATCH}>", start)
+
+    first, second = next(parts, []), next(parts, None)
+    if second is None:
+        return searched(found, context.broadcast(Index(first)))
+    rows = found.select(*found.columns, F.monotonically_increasing_id().alias("_row"))
+    rows = staged(rows, "decontamination-rows")
+    hits = []
+    for items in chain([first, second], parts):
+        index = context.broadcast(Index(items))
+        some = searched(rows.select("_row", text), index).where(F.size("matches") > 0)
+        hits.append(staged(some.select("_row", "matches"), "decontamination-matches"))
+        index.unpersist()
+    whole = reduce(DataFrame.unionByName, hits).groupBy("_row")
+    whole = whole.agg(F.flatten(F.collect_list("matches")).alias("_matches"))
     none = F.array().cast(f"array<{MATCH}>")
-    return found.withColumn("matches", F.concat(none, *names)).drop(*names)
+    joined = rows.join(whole, "_row", "left")
+    kept = [c for c in found.columns if c != "matches"]
+    return joined.select(*kept, F.coalesce("_matches", none).alias("matches"))
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -77,6 +77,22 @@ def test_blocks_give_the_same(spark):
     assert d.contaminated(documents, benchmark.where("false")).collect() == []
 
 
+def test_many_blocks_hold_one_index_at_a_time(spark):
+    """Fifty blocks: repeated rows, a long text, a filled column of the result's name."""
+    draw = random.Random(8)
+    items = [(n, prose(draw, 12)) for n in range(50)]
+    texts = [(n % 30, f"{prose(draw, 9)} {items[n % 50][1]}", "old") for n in range(60)]
+    texts += [texts[0], texts[0], (99, " ".join(c for _, c in items) + " x" * 50_000, None), (None, "x" * 100_000, None)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string, matches string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    apart = d.with_matches(documents, benchmark, block=1)
+    assert "MapInArrow" not in apart._jdf.queryExecution().optimizedPlan().toString()
+    assert apart.columns == ["doc_id", "text", "matches"]
+    kept = lambda rows: sorted((r.doc_id or -1, r.text, sorted(map(tuple, r.matches))) for r in rows)
+    assert kept(apart.collect()) == kept(d.with_matches(documents, benchmark).collect())
+    assert len(kept(apart.collect())) == len(texts)
+
+
 def test_query_finds_every_whole_item(spark, tables_dir):
     found = {(r.doc_id, r.item_id) for r in op9_decontamination(spark, tables_dir).collect()}
     items = spark.read.parquet(f"{tables_dir}/benchmark.parquet").collect()
