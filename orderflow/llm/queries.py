@@ -226,4 +226,33 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
 ) WHERE rank <= 50
 """
 
-ORACLES: dict[str, str] = {"op11_ranked": RANKED_SQL}
+JACCARD_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingled AS (
+  SELECT row_id, doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s
+  FROM worded
+), flat AS (
+  SELECT row_id, doc_id, len(s) AS n, unnest(s) AS shingle FROM shingled
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b USING (shingle)
+  WHERE a.row_id < b.row_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.row_id, b.row_id, a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents WHERE doc_id IS NOT NULL
+  UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id
+FROM shingled s LEFT JOIN (SELECT node, min(other) AS component_id FROM reached GROUP BY node) c
+  ON c.node = s.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op8_jaccard": JACCARD_SQL, "op11_ranked": RANKED_SQL}

@@ -134,3 +134,14 @@ def test_components(spark):
 def test_query(spark, tables_dir):
     rows = spark.read.parquet(f"{tables_dir}/documents.parquet").collect()
     assert found(op8_jaccard(spark, tables_dir)) == plain_components({r.doc_id: r.text for r in rows})
+
+
+def test_query_against_sql(spark, tables_dir):
+    import duckdb
+
+    from orderflow.llm.queries import ORACLES
+
+    oracle = duckdb.connect()
+    oracle.sql(f"CREATE VIEW documents AS SELECT * FROM '{tables_dir}/documents.parquet'")
+    found = op8_jaccard(spark, tables_dir).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, found.collect())) == sorted(oracle.sql(ORACLES["op8_jaccard"]).fetchall())
