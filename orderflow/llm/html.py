@@ -1,26 +1,29 @@
 """Main text of web pages by differencing pages with near URLs.
 
-A page is read into blocks of text. Each host's pages are ordered by URL path; a page is
-paired with the one before and the one after it, blocks are aligned by the longest common
-subsequence, and shared blocks are deleted as the site's template. Differencing alone can't
-give right results on two kinds of blocks, so markup has the first word on them:
+A page is read into blocks of text. The pages of a host are ordered by URL path; each is
+paired with the one before and the one after it, their blocks are aligned by the longest
+common subsequence, and shared blocks are deleted as the site's template. Every page goes
+this way, with all its blocks. Differencing alone can't give right results on two kinds of
+blocks; there markup corrects it:
 
 * Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-  comments are recognised by their tags, roles, classes and ids and are dropped even where
+  comments are recognised by their tags, roles, classes and ids and are deleted even where
   neighbours have others.
-* What lies inside ``article`` or ``main`` is kept even where a neighbour has it too, since
+* What lies inside ``article`` or ``main`` stays even where a neighbour has it too, since
   sites hold copies of articles; then everything outside of it goes.
 
-Blocks of pages without such an element are judged by differencing. If a neighbour shares
-all of them, the pages are copies and tell nothing about each other.
+A neighbour that shares all blocks which markup leaves is a copy and tells nothing.
 
-Only block hashes and the text of blocks are shuffled. A host's pages are cut into ranges of
-paths, so a host with a third of all pages is many tasks; the first page of a range has no
-page before it there and is paired with the one after it alone.
+Pages of one host with equal blocks count as one page, at the smallest of their paths, so
+equal pages give equal texts, and neighbours follow from the table alone: neither the
+number of partitions nor the cuts between them matter. Distinct pages get their places by
+ranges and their counts; each sends its block hashes to the places beside it, so a host with
+a third of all pages is many tasks. Texts meet the result of their page by one join; copies
+of one page are a hot key there, which adaptive execution splits.
 
 Null html counts as empty and gives an empty text; markup may break off anywhere. Pages are
-never cut; equal rows give equal results; an empty table gives an empty one. A null url is a
-host and path of its own. Only id, url and html are read.
+never cut; an empty table gives an empty one. Null urls share the empty host and path. Only
+id, url and html are read.
 """
 
 from __future__ import annotations
@@ -28,15 +31,13 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import small_batches, with_columns
+from orderflow.llm.common import staged, with_columns
 from orderflow.llm.urls import split_url
 
 # Tags without content that is shown, tags of page furniture, tags that begin a block.
@@ -228,35 +229,129 @@ def common_places(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         tail += 1
     shared[:head] = True
     shared[len(a) - tail :] = True
+    if head + tail >= min(len(a), len(b)):
+        return shared
     rows = np.flatnonzero(np.isin(a[head : len(a) - tail], b[head : len(b) - tail])) + head
+    if not len(rows):
+        return shared
     x, y = a[rows], b[head : len(b) - tail]
     y = y[np.isin(y, x)]
     shared[rows[longest_common(x, y)]] = True
     return shared
 
 
-def template_places(own: np.ndarray, neighbours: list[np.ndarray]) -> np.ndarray:
-    """Which blocks a neighbour shares; a neighbour that shares all of them counts for nothing."""
+def template_places(
+    own: np.ndarray, left: np.ndarray, neighbours: list[np.ndarray]
+) -> np.ndarray:
+    """Which blocks a neighbour shares; one that shares all that markup ``left`` tells nothing."""
     shared = np.zeros(len(own), bool)
     for other in neighbours:
         found = common_places(own, other)
-        if not found.all():
+        if not found[left].all():
             shared |= found
     return shared
 
 
-def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """``key, url, text`` of every page: its main text, blocks joined by line ends."""
-    small_batches(pages.sparkSession)
+def _digest(host: str, hashes: bytes, kinds: bytes) -> str:
+    name = host.encode("utf-8", "surrogatepass")
+    return xxhash.xxh3_128_hexdigest(b"%d:%b%b%b" % (len(name), name, hashes, kinds))
+
+
+def _read(host: str, page: str | None) -> tuple[str, list[str], bytes, bytes]:
+    """A page's digest, its blocks, their hashes and their kinds."""
+    blocks, kinds = page_blocks(page)
+    hashes = [xxhash.xxh3_64_intdigest(b.encode("utf-8", "surrogatepass")) for b in blocks]
+    packed, kinds = np.array(hashes, np.uint64).tobytes(), bytes(kinds)
+    return _digest(host, packed, kinds), blocks, packed, kinds
+
+
+def _start_outlines():
+    def work(hosts, pages):
+        found = [_read(*x) for x in zip(hosts, pages)]
+        return [[f[0] for f in found], [f[2] for f in found], [f[3] for f in found]]
+
+    return work
+
+
+def _start_blocks():
+    def work(hosts, pages):
+        digests, texts = [], []
+        for digest, blocks, _, kinds in (_read(*x) for x in zip(hosts, pages)):
+            digests.append(digest)
+            texts.append([
+                {"at": n, "kept": k == KEPT, "text": b}
+                for n, (b, k) in enumerate(zip(blocks, kinds))
+                if k != DROPPED
+            ])
+        return [digests, texts]
+
+    return work
+
+
+def _start_differences():
+    """Aligns the page of a place, side 0, with those of the places beside it."""
+
+    def work(nears):
+        digests, shared = [], []
+        for near in nears:
+            own = next(x for x in near if x["side"] == 0)
+            kinds = np.frombuffer(own["kinds"], np.uint8)
+            others = [
+                np.frombuffer(x["hashes"], np.uint64)
+                for x in near
+                if x["side"] != 0 and x["host"] == own["host"]
+            ]
+            hashes = np.frombuffer(own["hashes"], np.uint64)
+            digests.append(own["digest"])
+            shared.append(template_places(hashes, kinds != DROPPED, others).tolist())
+        return [digests, shared]
 
-    def start():
-        def work(values):
-            blocks, kinds = zip(*map(page_blocks, values)) if values else ((), ())
-            kept = [[t for t, k in zip(b, n) if k != DROPPED] for b, n in zip(blocks, kinds)]
-            return [kept, [[k for k in n if k != DROPPED] for n in kinds]]
+    return work
 
-        return work
 
+def placed(outlines: DataFrame) -> DataFrame:
+    """The distinct pages of ``host, path, url, digest, hashes, kinds`` and their ``place``.
+
+    Places count all pages without gaps, ordered by host and path. Ranges are counted, so
+    nothing is sorted in one task; the window runs over one row for each range.
+    """
+    whole = F.struct("path", "url", "hashes", "kinds")
+    distinct = outlines.groupBy("host", "digest").agg(F.min(whole).alias("page"))
+    distinct = distinct.select("host", "digest", "page.*")
+    order = ["host", "path", "url", "digest"]
+    ranged = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
+    number = F.monotonically_increasing_id()
+    rows = staged(ranged.withColumn("number", number), "html-outlines").select(
+        "host",
+        "digest",
+        "hashes",
+        "kinds",
+        F.shiftright("number", 33).alias("range"),
+        F.col("number").bitwiseAND((1 << 33) - 1).alias("row"),
+    )
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("range").agg(F.count("*").alias("rows"))
+    counts = counts.select("range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+    return rows.join(counts, "range").select(
+        "host", "digest", "hashes", "kinds", (F.col("before") + F.col("row")).alias("place")
+    )
+
+
+def template(outlines: DataFrame) -> DataFrame:
+    """``digest, shared``: which blocks of each distinct page its neighbours have too."""
+    sides = placed(outlines).withColumn("side", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
+    page = F.struct("side", "host", "digest", "hashes", "kinds")
+    near = sides.groupBy((F.col("place") + F.col("side")).alias("place"))
+    near = near.agg(F.collect_list(page).alias("near"), F.min(F.abs("side")).alias("own"))
+    near = near.where("own = 0").select("near")
+    return with_columns(near, ["near"], "near string, shared array<boolean>", _start_differences).select(
+        F.col("near").alias("digest"), "shared"
+    )
+
+
+def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
+    """``key, url, text, n_template`` of every page: its main text, blocks joined by line
+    ends, and how many of its blocks the neighbours have too."""
     host, path = split_url(F.coalesce(F.col(url), F.lit("")))
     rows = pages.select(
         F.col(key).alias("id"),
@@ -265,51 +360,18 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
         path.alias("path"),
         F.col(page).alias("page"),
     )
-    read = with_columns(rows, ["page"], "blocks array<string>, kinds array<int>", start)
-    ordered = read.drop("page").repartitionByRange("host", "path", "url", "id")
-    ordered = ordered.sortWithinPartitions("host", "path", "url", "id").select(
-        "id", "url", "host", "blocks", "kinds"
+    outlines = with_columns(
+        rows.drop("id"), ["host", "page"], "digest string, page binary, kinds binary", _start_outlines
+    ).withColumnRenamed("page", "hashes")
+    blocks = "array<struct<at:int,kept:boolean,text:string>>"
+    read = with_columns(
+        rows.drop("path"), ["host", "page"], f"digest string, page {blocks}", _start_blocks
     )
-    kind = ordered.schema["id"].dataType.simpleString()
-    return ordered.mapInArrow(_differences, f"id {kind}, url string, text string").select(
-        F.col("id").alias(key), "url", "text"
+    known = read.join(template(outlines), "digest")
+    left = F.filter("page", lambda b: b["kept"] | ~F.get("shared", b["at"]))
+    return known.select(
+        F.col("id").alias(key),
+        "url",
+        F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text"),
+        F.size(F.filter("shared", lambda x: x)).alias("n_template"),
     )
-
-
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Goes along the ordered pages with the page before and the page after at hand."""
-    before = current = None
-    out: list[tuple] = []
-
-    def text_of(page, neighbours) -> tuple:
-        number, url, _, blocks, kinds, hashes = page
-        keep = np.array(kinds) != OPEN if kinds else np.zeros(0, bool)
-        if not keep.all():
-            keep = keep | ~template_places(hashes, neighbours)
-        return number, url, "\n".join(b for b, k in zip(blocks, keep.tolist()) if k)
-
-    def finish(after) -> None:
-        if current is not None:
-            near = [p[5] for p in (before, after) if p is not None and p[2] == current[2]]
-            out.append(text_of(current, near))
-
-    schema = None
-    for batch in batches:
-        schema = batch.schema.field(0).type
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            hashes = np.array([xxhash.xxh3_64_intdigest(b.encode("utf-8", "surrogatepass")) for b in row[3]], np.uint64)
-            page = (*row, hashes)
-            finish(page)
-            before, current = current, page
-        if out:
-            yield _batch(out, schema)
-            out = []
-    finish(None)
-    if out:
-        yield _batch(out, schema)
-
-
-def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    types = [kind, pa.string(), pa.string()]
-    arrays = [pa.array(values, t) for values, t in zip(zip(*rows), types)]
-    return pa.RecordBatch.from_arrays(arrays, names=["id", "url", "text"])

@@ -75,12 +75,8 @@ def test_differencing(spark):
         (7, "http://c.com/1", "<article><p>Same</p></article>"),
         (8, "http://c.com/2", "<article><p>Same</p></article>"),
     ]
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    try:
-        pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
-        found = {r.page_id: r.text for r in html.extracted(pages).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
+    found = {r.page_id: r.text for r in html.extracted(pages).collect()}
     assert found == {
         1: "First story",
         2: "Second story",
@@ -148,3 +144,81 @@ def test_deep_pages_take_linear_time(page):
     blocks, _ = html.page_blocks(page)
     assert time.perf_counter() - start < 5
     assert blocks
+
+
+def by_hand(rows):
+    """Main texts by going along the distinct pages of each host, with a table for each pair."""
+
+    def shared_by(a, b):
+        table = [[frozenset()] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                both = table[i][j] | {i} if x == y else frozenset()
+                table[i + 1][j + 1] = max(both, table[i][j + 1], table[i + 1][j], key=len)
+        return table[-1][-1]
+
+    def host_and_path(url):
+        rest = re.split("[?#]", url.split("://", 1)[1])[0] if url and "://" in url else ""
+        host, _, path = rest.partition("/")
+        return host.lower(), "/" + path if "/" in rest else ""
+
+    places, texts = {}, {}
+    for number, url, page in rows:
+        blocks, kinds = html.page_blocks(page)
+        host, path = host_and_path(url)
+        place = (path, url is not None, url or "")
+        name = (host, tuple(blocks), tuple(kinds))
+        places[name] = min(places.get(name, place), place)
+        texts[number] = name
+    ordered = sorted(places, key=lambda name: (name[0], places[name]))
+    found = {}
+    for n, (host, blocks, kinds) in enumerate(ordered):
+        template = set()
+        for m in (n - 1, n + 1):
+            if 0 <= m < len(ordered) and ordered[m][0] == host:
+                same = shared_by(blocks, ordered[m][1])
+                if not {i for i, k in enumerate(kinds) if k != html.DROPPED} <= same:
+                    template |= same
+        text = "\n".join(
+            b for i, (b, k) in enumerate(zip(blocks, kinds))
+            if k == html.KEPT or (k == html.OPEN and i not in template)
+        )
+        found[host, blocks, kinds] = text, len(template)
+    return {number: found[name] for number, name in texts.items()}
+
+
+def site(draw, number, host):
+    """A page whose lines are all different, so that the longest common subsequence is unique."""
+    menu = [f"menu {i}" for i in range(6) if draw.random() < 0.7]
+    body = [f"line {number} {i}" for i in range(3)]
+    lines = "".join(f"<p>{x}</p>" for x in [*menu, *body, "foot"])
+    if draw.random() < 0.3:
+        lines += f"<footer>f {number % 2}</footer><article><p>text {number % 3}</p></article>"
+    return (number, f"http://{host}.com/{int(draw.integers(0, 40)):02d}/{number:03d}", lines)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 61])
+def test_neighbours_do_not_depend_on_partitions(spark, partitions):
+    draw = np.random.default_rng(4)
+    rows = [site(draw, n, "hot" if n % 3 else f"h{n % 5}") for n in range(150)]
+    rows += [(200 + n, rows[7][1], rows[7][2]) for n in range(20)]
+    rows += [(300 + n, f"http://hot.com/{n:02d}/copy", rows[8][2]) for n in range(20)]
+    rows += [(400, None, "<p>a<p>b"), (401, None, None), (402, "", "<p>a<p>c"), (None, None, None)]
+    wanted = by_hand(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(partitions)
+        found = html.extracted(pages).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) == len(rows)
+    assert {r.page_id: (r.text, r.n_template) for r in found} == wanted
+
+
+def test_copies_in_a_row_are_equal(spark):
+    rows = [(n, f"http://a.com/{n}", page("Home", "Same" if 0 < n < 4 else f"Story {n}")) for n in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html.extracted(pages).collect()}
+    assert texts == {0: "Story 0", 1: "Same", 2: "Same", 3: "Same", 4: "Story 4"}
