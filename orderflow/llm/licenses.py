@@ -3,18 +3,24 @@
 A text is first searched for a few general words; only texts with one of them are tried
 further. There every rule's own keyword must occur before its pattern is run. All places
 of all patterns become intervals. An interval inside another one is suppressed; of equal
-intervals the rule of higher priority stays. What is left gives the labels.
+intervals the rule of higher priority stays. Going along the text, of two that overlap in
+part the one of higher priority stays, with equal priorities the one that starts first.
+What is left gives the labels.
 
 Besides, three phrases are counted by words: see ``PHRASES``. Their labels stay whatever
 the rules find.
 
 Null texts count as empty: no words, no labels (an empty string), score 0. Texts are never
 cut; repeated rows give repeated results; an empty table gives an empty one. Only id and
-text are read. No step shuffles.
+text are read. No step shuffles. Places are summed up in blocks of about the square root of
+their number, since arrays that grow place by place would take quadratic time.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from dataclasses import asdict
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
@@ -72,34 +78,71 @@ def _phrase_columns(padded: Column, n_words: Column) -> list[Column]:
     ]
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the value, which is worked out a single time however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` each value, plus all before it; a fold that copies its array for each value."""
+    start = F.array().cast("array<int>")
+
+    def add(sums: Column, x: Column) -> Column:
+        last = F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0))
+        return F.concat(sums, F.array(last + of(x)))
+
+    return F.aggregate(values, start, add)
+
+
+def _ends(lengths: Column) -> Column:
+    """``to, length`` of one or more places given by the ``gap`` before each and its ``length``."""
+    width = F.ceil(F.sqrt(F.size(lengths))).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(1), F.size(lengths), width), lambda n: F.slice(lengths, n, width)
+    )
+    summed = F.transform(
+        blocks,
+        lambda block: F.struct(
+            block.alias("places"), _running(block, lambda x: x["gap"] + x["length"]).alias("ends")
+        ),
+    )
+
+    def shifted(block: Column, end: Column) -> Column:
+        before = end - F.element_at(block["ends"], -1)
+        ends = F.transform(block["ends"], lambda to: to + before)
+        return F.zip_with(
+            block["places"],
+            ends,
+            lambda x, to: F.struct(to.alias("to"), x["length"].alias("length")),
+        )
+
+    def whole(parts: Column) -> Column:
+        totals = _running(parts, lambda block: F.element_at(block["ends"], -1))
+        return F.flatten(F.zip_with(parts, totals, shifted))
+
+    return _once(summed, whole)
+
+
 def _intervals(text: Column, keyword: Column, group: Column) -> Column:
     """``from, to, priority, label, weight`` of all places of a keyword's rules in the text."""
 
-    def places(rule: Column) -> Column:
-        matches = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
+    kind = "array<struct<from:int,to:int,priority:int,label:string,weight:double>>"
+
+    def lengths(rule: Column, matches: Column) -> Column:
         pieces = F.split(text, rule["pattern"], -1)
-        lengths = F.zip_with(
+        return F.zip_with(
             F.slice(pieces, F.lit(1), F.size(matches)),
             matches,
             lambda piece, match: F.struct(
                 F.length(piece).alias("gap"), F.length(match).alias("length")
             ),
         )
-        start = F.struct(
-            F.lit(0).alias("at"), F.array().cast("array<struct<from:int,to:int>>").alias("found")
-        )
-
-        def add(state: Column, x: Column) -> Column:
-            begin = state["at"] + x["gap"]
-            end = begin + x["length"]
-            place = F.struct(begin.alias("from"), end.alias("to"))
-            return F.struct(end.alias("at"), F.concat(state["found"], F.array(place)).alias("found"))
 
-        found = F.aggregate(lengths, start, add, lambda state: state["found"])
+    def intervals(rule: Column, ends: Column) -> Column:
         return F.transform(
-            found,
+            ends,
             lambda p: F.struct(
-                p["from"].alias("from"),
+                (p["to"] - p["length"]).alias("from"),
                 (-p["to"]).alias("to"),
                 (-rule["priority"]).alias("priority"),
                 rule["label"].alias("label"),
@@ -107,42 +150,64 @@ def _intervals(text: Column, keyword: Column, group: Column) -> Column:
             ),
         )
 
+    def places(rule: Column) -> Column:
+        return _once(
+            F.regexp_extract_all(text, rule["pattern"], F.lit(0)),
+            lambda matches: F.when(
+                F.size(matches) > 0,
+                intervals(rule, _once(lengths(rule, matches), _ends)).cast(kind),
+            ).otherwise(F.array().cast(kind)),
+        )
+
     return F.when(text.contains(keyword), F.flatten(F.transform(group, places)))
 
 
-def _uncontained(intervals: Column) -> Column:
-    """The intervals that lie in no other; sorted by start, then the longer first."""
-    kind = "array<struct<label:string,weight:double>>"
-    start = F.struct(F.lit(-1).alias("end"), F.array().cast(kind).alias("kept"))
+def _resolved(intervals: Column) -> Column:
+    """Different labels and weights of the intervals that stay.
+
+    They come sorted by start, then the longer first. The last that stayed is open, as a
+    later one of higher priority may take its place; those before it are settled. Only
+    different ones are held, so the fold is linear.
+    """
+    kind = "struct<label:string,weight:double>"
+    start = F.struct(
+        F.lit(-1).alias("end"),
+        F.lit(0).alias("priority"),
+        F.lit(None).cast(kind).alias("open"),
+        F.array().cast(f"array<{kind}>").alias("kept"),
+    )
+
+    def settled(state: Column) -> Column:
+        known = state["open"].isNull() | F.array_contains(state["kept"], state["open"])
+        return F.when(known, state["kept"]).otherwise(
+            F.concat(state["kept"], F.array(state["open"]))
+        )
 
     def add(state: Column, x: Column) -> Column:
-        keep = F.struct(x["label"].alias("label"), x["weight"].alias("weight"))
-        inside = state["end"] >= -x["to"]
-        return F.struct(
-            F.greatest(state["end"], -x["to"]).alias("end"),
-            F.when(inside, state["kept"])
-            .otherwise(F.concat(state["kept"], F.array(keep)))
-            .alias("kept"),
+        own = F.struct(x["label"].alias("label"), x["weight"].alias("weight"))
+        opened = lambda kept: F.struct(
+            (-x["to"]).alias("end"), x["priority"].alias("priority"), own.alias("open"), kept.alias("kept")
+        )
+        behind = x["from"] >= state["end"]
+        wins = (-x["to"] > state["end"]) & (x["priority"] < state["priority"])
+        return (
+            F.when(behind, opened(settled(state)))
+            .when(wins, opened(state["kept"]))
+            .otherwise(state)
         )
 
-    return F.aggregate(F.array_sort(intervals), start, add, lambda state: state["kept"])
+    return F.aggregate(F.array_sort(intervals), start, add, settled)
 
 
 def _table(known: list[Rule]) -> Column:
-    """The rules as a constant array, grouped by keyword."""
-    groups = []
-    for keyword, members in groupby(sorted(known, key=lambda r: r.keyword), lambda r: r.keyword):
-        rows = [
-            F.struct(
-                F.lit(r.pattern).alias("pattern"),
-                F.lit(r.label).alias("label"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.weight).alias("weight"),
-            )
-            for r in members
-        ]
-        groups.append(F.struct(F.lit(keyword).alias("keyword"), F.array(*rows).alias("rules")))
-    return F.array(*groups)
+    """The rules as a constant array, grouped by keyword; one literal that is read once."""
+    groups = [
+        {"keyword": keyword, "rules": [asdict(rule) for rule in members]}
+        for keyword, members in groupby(sorted(known, key=lambda r: r.keyword), lambda r: r.keyword)
+    ]
+    rule = "struct<pattern:string,label:string,priority:int,weight:double>"
+    kind = f"array<struct<keyword:string,rules:array<{rule}>>>"
+    return F.from_json(F.lit(json.dumps(groups)), kind)
 
 
 def scanned(
@@ -171,7 +236,7 @@ def scanned(
         .alias("padded"),
         F.when(
             F.col("gate"),
-            _uncontained(
+            _resolved(
                 F.flatten(
                     F.array_compact(
                         F.transform(table, lambda g: _intervals(F.col("low"), g["keyword"], g["rules"]))
