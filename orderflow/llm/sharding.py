@@ -151,7 +151,8 @@ def sharded(
 
     Slots count from 0 without gaps in each shard. They are numbered in small buckets of
     documents, whose places follow from the counts of the buckets before, so a shard is
-    never sorted in one task.
+    never sorted in one task. Rows of one id and one text are counted and go in pieces of
+    ``SLOT_ROWS``, so neither very many null ids nor repeated rows are one task.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     digests = staged(
@@ -168,24 +169,34 @@ def sharded(
     cut = plan(groups, shards)
     rows = groups.agg(F.sum("rows")).first()[0] or 0
     buckets = max(64, int(rows) // SLOT_ROWS)
-    placed = digests.select(
+    pieces = F.sequence(F.lit(0), F.expr(f"int((rows - 1) div {SLOT_ROWS})"))
+    equal = digests.groupBy("id", "size", "text_crc32", "key").agg(F.count("*").alias("rows"))
+    equal = equal.withColumn("piece", F.explode(pieces))
+    left = F.col("rows") - F.col("piece") * SLOT_ROWS
+    placed = equal.select(
         "id",
         "size",
         "text_crc32",
+        "key",
+        "piece",
+        F.least(left, F.lit(SLOT_ROWS)).alias("rows"),
         cut.shard(F.col("key")).alias("shard"),
-        F.pmod(F.xxhash64(F.col("id").cast("string"), "key"), buckets).alias("bucket"),
+        F.pmod(F.xxhash64(F.col("id").cast("string"), "key", "piece"), buckets).alias("bucket"),
     )
-    counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
+    counts = placed.groupBy("shard", "bucket").agg(F.sum("rows").alias("rows"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(
         "shard", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before")
     )
-    inside = Window.partitionBy("shard", "bucket").orderBy("id", "text_crc32", "size")
-    numbered = placed.withColumn("place", F.row_number().over(inside) - 1)
-    return numbered.join(counts, ["shard", "bucket"]).select(
+    inside = Window.partitionBy("shard", "bucket").orderBy("id", "key", "piece")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = placed.withColumn("place", F.coalesce(F.sum("rows").over(inside), F.lit(0)))
+    numbered = numbered.join(counts, ["shard", "bucket"])
+    row = F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("row")
+    return numbered.select("*", row).select(
         F.col("id").alias(key),
         "size",
         "text_crc32",
         "shard",
-        (F.col("before") + F.col("place")).cast("long").alias("slot"),
+        (F.col("before") + F.col("place") + F.col("row")).cast("long").alias("slot"),
     )

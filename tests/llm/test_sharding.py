@@ -92,3 +92,16 @@ def test_repeated_rows_and_empty_table(spark):
     rows = sharding.sharded(documents).collect()
     assert sorted(r.slot for r in rows if r.doc_id == 1) == [0, 1, 2, 3, 4]
     assert sharding.sharded(documents.where("false")).collect() == []
+
+
+def test_equal_rows_go_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 7)
+    rows = [(None, "same")] * 300 + [(5, None)] * 200 + [(n, f"text {n}") for n in range(100)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sharding.sharded(documents, shards=3).collect()
+    assert sorted((r.doc_id or -1, r.size) for r in found) == sorted(
+        (d or -1, 16 + len(t or "")) for d, t in rows
+    )
+    for shard in {r.shard for r in found}:
+        slots = sorted(r.slot for r in found if r.shard == shard)
+        assert slots == list(range(len(slots)))
