@@ -252,12 +252,12 @@ def template_places(
     return shared
 
 
-def _digest(host: str, hashes: bytes, kinds: bytes) -> str:
+def _digest(host: str, hashes: bytes, kinds: bytes) -> bytes:
     name = host.encode("utf-8", "surrogatepass")
-    return xxhash.xxh3_128_hexdigest(b"%d:%b%b%b" % (len(name), name, hashes, kinds))
+    return xxhash.xxh3_128_digest(b"%d:%b%b%b" % (len(name), name, hashes, kinds))
 
 
-def _read(host: str, page: str | None) -> tuple[str, list[str], bytes, bytes]:
+def _read(host: str, page: str | None) -> tuple[bytes, list[str], bytes, bytes]:
     """A page's digest, its blocks, their hashes and their kinds."""
     blocks, kinds = page_blocks(page)
     hashes = [xxhash.xxh3_64_intdigest(b.encode("utf-8", "surrogatepass")) for b in blocks]
@@ -340,11 +340,18 @@ def placed(outlines: DataFrame) -> DataFrame:
 def template(outlines: DataFrame) -> DataFrame:
     """``digest, shared``: which blocks of each distinct page its neighbours have too."""
     sides = placed(outlines).withColumn("side", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
-    page = F.struct("side", "host", "digest", "hashes", "kinds")
+    own = F.col("side") == 0
+    page = F.struct(
+        "side",
+        "host",
+        "hashes",
+        F.when(own, F.col("digest")).alias("digest"),
+        F.when(own, F.col("kinds")).alias("kinds"),
+    )
     near = sides.groupBy((F.col("place") + F.col("side")).alias("place"))
     near = near.agg(F.collect_list(page).alias("near"), F.min(F.abs("side")).alias("own"))
     near = near.where("own = 0").select("near")
-    return with_columns(near, ["near"], "near string, shared array<boolean>", _start_differences).select(
+    return with_columns(near, ["near"], "near binary, shared array<boolean>", _start_differences).select(
         F.col("near").alias("digest"), "shared"
     )
 
@@ -361,11 +368,11 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
         F.col(page).alias("page"),
     )
     outlines = with_columns(
-        rows.drop("id"), ["host", "page"], "digest string, page binary, kinds binary", _start_outlines
+        rows.drop("id"), ["host", "page"], "digest binary, page binary, kinds binary", _start_outlines
     ).withColumnRenamed("page", "hashes")
     blocks = "array<struct<at:int,kept:boolean,text:string>>"
     read = with_columns(
-        rows.drop("path"), ["host", "page"], f"digest string, page {blocks}", _start_blocks
+        rows.drop("path"), ["host", "page"], f"digest binary, page {blocks}", _start_blocks
     )
     known = read.join(template(outlines), "digest")
     left = F.filter("page", lambda b: b["kept"] | ~F.get("shared", b["at"]))
