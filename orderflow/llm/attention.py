@@ -26,10 +26,12 @@ STEPS = 200
 BATCH = 256
 RATE = 0.01
 PASS_RATE = 0.002
-PARTS = 16
-"""A pass over the corpus predicts one of so many stretches of a window, batches taking turns."""
+PARTS = 1
+"""A pass predicts one of so many parts of the places: all of them."""
 ROWS = 256
 """Windows that are scored at once; few, so that their arrays stay in a core's cache."""
+TOGETHER = 32
+"""Windows whose gradients are worked out at once, for the same reason."""
 STEADY = 60.0
 """Sums of exponentials of numbers up to this one are exact enough in 32 bits."""
 
@@ -44,6 +46,8 @@ class Model:
     classes: np.ndarray
     inside: np.ndarray
     end: int
+    slots: np.ndarray
+    """Ids of one slot share a vector; each clustered id has a slot of its own."""
 
     def log10(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Log10 probability of each sequence of ids and its end.
@@ -77,37 +81,44 @@ class Model:
                 total += np.bincount(owner[n : n + ROWS], found.sum(axis=1), len(sequences))
         return total
 
-    def passed_over(self, batches: Iterable[list[np.ndarray]]) -> tuple[Weights, int]:
+    def passed_over(
+        self, batches: Iterable[list[np.ndarray]], rate: float = PASS_RATE, batch: int = BATCH
+    ) -> tuple[Weights, int]:
         """How weights move in one pass over all sequences, and how many places it predicted.
 
-        Of every window of every sequence one in ``PARTS`` stretches of places is predicted from
-        all places before. The ids' vectors stay.
+        Every place of every sequence is predicted once, from all places of its window before.
         """
-        w, steps = dict(self.weights), Steps(self.weights, PASS_RATE)
-        count = step = 0
+        w, steps, count = self.by_slot, Steps(self.by_slot, rate), 0
         for sequences in batches:
             if not sequences:
                 continue
             given, target, starts, ends = laid_out(sequences, self.end)
+            given, target = self.slots[given], self.classes[target]
             room = -(-(ends - starts) // LENGTH)
             owner = np.repeat(np.arange(len(room)), room)
             begin = starts[owner] + LENGTH * (np.arange(len(owner)) - np.repeat(np.cumsum(room) - room, room))
-            for n in range(0, len(begin), BATCH):
-                asked = step % PARTS * (LENGTH // PARTS) + np.arange(LENGTH // PARTS)
-                rows = begin[n : n + BATCH, None] + np.arange(asked[-1] + 1)
-                valid = (rows < ends[owner[n : n + BATCH], None]).astype(np.float32)
+            for n in range(0, len(begin), batch):
+                rows = begin[n : n + batch, None] + np.arange(LENGTH)
+                valid = (rows < ends[owner[n : n + batch], None]).astype(np.float32)
                 rows = np.minimum(rows, len(target) - 1)
-                _, g = gradients(
-                    w, given[rows], self.classes[target[rows[:, asked]]], valid[:, asked], asked, False
-                )
+                _, g = gradients(w, given[rows], target[rows], valid)
                 w = steps.taken(w, g)
-                count += int(valid[:, asked].sum())
-                step += 1
-        return {name: w[name] - self.weights[name] for name in w if name != "embed"}, count
+                count += int(valid.sum())
+        moves = {name: w[name] - x for name, x in self.by_slot.items()}
+        moves["vectors"] = moves.pop("embed")
+        return moves, count
+
+    @cached_property
+    def by_slot(self) -> Weights:
+        """The weights with one vector for each slot instead of each id."""
+        first = np.unique(self.slots, return_index=True)[1]
+        return {**self.weights, "embed": self.weights["embed"][first]}
 
     def moved(self, by: Weights) -> Model:
-        weights = {n: (x + by[n]).astype(np.float32) if n in by else x for n, x in self.weights.items()}
-        return Model(weights, self.classes, self.inside, self.end)
+        by = {"embed": by["vectors"], **by}
+        weights = {n: (x + by[n]).astype(np.float32) for n, x in self.by_slot.items()}
+        weights["embed"] = weights["embed"][self.slots]
+        return Model(weights, self.classes, self.inside, self.end, self.slots)
 
     @cached_property
     def by_id(self) -> dict[str, np.ndarray]:
@@ -116,8 +127,10 @@ class Model:
         return {
             "q": x @ w["q"] / np.float32(np.sqrt(SIZE)),
             "k": x @ w["k"],
-            "seen": x @ (w["v"] @ w["seen"]),
-            "own": x @ w["own"] + w["shift"],
+            # One more column: the sums of what is weighed, and 1 once tanh is taken.
+            "seen": np.pad(x @ (w["v"] @ w["seen"]), ((0, 0), (0, 1)), constant_values=1),
+            "own": np.pad(x @ w["own"] + w["shift"], ((0, 0), (0, 1)), constant_values=100),
+            "ends": np.vstack((w["out"], w["level"])),
         }
 
     @cached_property
@@ -138,14 +151,13 @@ class Model:
         if not self.steady:
             score -= score.max(axis=2, keepdims=True)
         np.exp(score, out=score)
-        h = np.matmul(score, parts["seen"].take(given, axis=0)).reshape(-1, SIZE)
-        h /= score.reshape(-1, length) @ np.ones((length, 1), score.dtype)
+        h = np.matmul(score, parts["seen"].take(given, axis=0)).reshape(-1, SIZE + 1)
+        h /= h[:, SIZE:].copy()
         h += parts["own"].take(asking.ravel(), axis=0)
-        z = np.tanh(h, out=h) @ w["out"]
-        z += w["level"]
+        z = np.tanh(h, out=h) @ parts["ends"]
         if not self.steady:
             z -= z.max(axis=1, keepdims=True)
-        chosen = z[np.arange(len(z)), wanted.ravel()]
+        chosen = z.ravel()[np.arange(len(z)) * z.shape[1] + wanted.ravel()]
         np.exp(z, out=z)
         found = chosen - np.log(z @ np.ones(z.shape[1], z.dtype))
         return (found / np.float32(np.log(10))).reshape(wanted.shape)
@@ -208,44 +220,100 @@ def gradients(
     ``asked`` are the places whose next class is ``wanted``, all by default; without
     ``vectors`` the ids' vectors have no gradient.
     """
-    asked = np.arange(given.shape[1]) if asked is None else asked
-    x, own, q, k, v, distance, a, context, h = _attention(w, given, asked)
-    z = h @ w["out"] + w["level"]
-    z -= z.max(axis=2, keepdims=True)
-    p = np.exp(z)
-    p /= p.sum(axis=2, keepdims=True)
-    chosen = np.take_along_axis(p, wanted[..., None], 2)[..., 0]
+    length, kind, n = given.shape[1], w["embed"].dtype.type, SIZE
+    every = asked is None
+    asked = np.arange(length) if every else asked
+    masked, distance = bias(w, length, asked), asked[:, None] - np.arange(length)
+    scale = kind(1 / np.sqrt(n))
+    # The columns of q, k, v, one of ones, which sums up what v is multiplied with, and own.
+    joint = np.concatenate((w["q"] * scale, w["k"], w["v"], np.zeros((n, 1), kind), w["own"]), axis=1)
+    by_id = w["embed"] @ joint
+    by_id[:, 3 * n] = 1
+    joint = np.delete(joint, 3 * n, axis=1)
+    ends = np.vstack((w["out"], w["level"]))
+    reach = np.sqrt(np.einsum("imj,imj->im", *[by_id[:, : 2 * n].reshape(-1, 2, n)] * 2).max(axis=0))
+    steady = reach.prod() + np.abs(w["near"]).max() < STEADY and np.abs(ends).sum(axis=0).max() < STEADY
     count = max(1, int(valid.sum()))
-    loss = float(-(np.log(np.maximum(chosen, 1e-30)) * valid).sum() / count)
-    dz = p
-    np.put_along_axis(dz, wanted[..., None], (chosen - 1)[..., None], 2)
-    dz *= (valid / np.float32(count))[..., None]
-
-    def outer(left, right):
-        return left.reshape(-1, left.shape[-1]).T @ right.reshape(-1, right.shape[-1])
-
-    g = {"out": outer(h, dz), "level": dz.sum(axis=(0, 1))}
-    pre = (dz @ w["out"].T) * (1 - h**2)
-    g |= {"own": outer(own, pre), "seen": outer(context, pre), "shift": pre.sum(axis=(0, 1))}
-    dc = pre @ w["seen"].T
-    dv = a.transpose(0, 2, 1) @ dc
-    da = dc @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    by_place = ds.sum(axis=0)
-    g["near"] = np.bincount(
-        np.maximum(distance, 0).ravel(), (by_place * (distance >= 0)).ravel(), LENGTH
-    ).astype(np.float32)
-    ds /= np.float32(np.sqrt(SIZE))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g |= {"q": outer(own, dq), "k": outer(x, dk), "v": outer(x, dv)}
+
+    few, per = min(TOGETHER, len(given)), len(asked)
+    sizes = {"parts": (length, 4 * n + 1), "x": (length, n), "a": (per, length), "ds": (per, length)}
+    sizes |= {"context": (per, n + 1), "dc": (per, n + 1), "h": (per, n + 1), "z": (per, ends.shape[1])}
+    sizes |= {"moved": (length, 4 * n), "pre": (per, n)}
+    room = {name: np.zeros((few, *size), kind) for name, size in sizes.items()}
+    sums = {"out": 0, "level": 0, "seen": 0, "shift": 0, "near": 0, "joint": 0}
+    back = np.empty((n, given.size if vectors else 0), kind)
+    loss = 0.0
+    for first in range(0, len(given), few):
+        ids, classes = given[first : first + few], wanted[first : first + few].ravel()
+        counts = valid[first : first + few].ravel().astype(kind, copy=False)
+        here = {name: x[: len(ids)] for name, x in room.items()}
+        parts, a, ds, moved = here["parts"], here["a"], here["ds"], here["moved"]
+        context, dc, h, z = (here[m].reshape(-1, here[m].shape[2]) for m in ("context", "dc", "h", "z"))
+        pre = here["pre"].reshape(-1, n)
+        np.take(by_id, ids, axis=0, out=parts, mode="clip")
+        np.take(w["embed"], ids, axis=0, out=here["x"], mode="clip")
+        asking = parts if every else parts[:, asked]
+        q, k, v = asking[..., :n], parts[..., n : 2 * n], parts[..., 2 * n : 3 * n + 1]
+
+        np.matmul(q, k.transpose(0, 2, 1), out=a)
+        a += masked
+        if not steady:
+            a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        np.matmul(a, v, out=here["context"])
+        part = 1 / context[:, n]
+        context *= part[:, None]
+        np.matmul(context[:, :n], w["seen"], out=pre)
+        pre += w["shift"]
+        np.add(pre.reshape(-1, per, n), asking[..., 3 * n + 1 :], out=here["h"][..., :n])
+        np.tanh(h, out=h)
+        h[:, n] = 1
+        np.matmul(h, ends, out=z)
+        if not steady:
+            z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        mass = z @ np.ones(z.shape[1], kind)
+        at = np.arange(len(z)) * z.shape[1] + classes
+        loss -= float(np.log(np.maximum(z.ravel()[at] / mass, 1e-30)) @ counts) / count
+
+        # Below, z times its row's share is the gradient of what stood in the exponentials.
+        z.ravel()[at] -= mass
+        share = (counts / (mass * kind(count)))[:, None]
+        np.matmul(z, w["out"].T, out=pre)
+        slope = h * h
+        np.subtract(1, slope, out=slope)
+        slope *= share
+        pre *= slope[:, :n]
+        np.matmul(pre, w["seen"].T, out=dc[:, :n])
+        dc[:, n] = 0
+        dc[:, n] = (dc * context) @ np.full(n + 1, -1, kind)
+        dc *= part[:, None]
+        np.matmul(here["dc"], v.transpose(0, 2, 1), out=ds)
+        ds *= a
+        np.matmul(a.transpose(0, 2, 1), here["dc"][..., :n], out=moved[..., 2 * n : 3 * n])
+        np.matmul(ds.transpose(0, 2, 1), q, out=moved[..., n : 2 * n])
+        at = slice(None) if every else asked
+        moved[:, at, :n] = np.matmul(ds, k)
+        moved[:, at, 3 * n :] = here["pre"]
+        h *= share
+        sums["out"] += h[:, :n].T @ z
+        sums["level"] += share[:, 0] @ z
+        sums["seen"] += context[:, :n].T @ pre
+        sums["shift"] += np.ones(len(pre), kind) @ pre
+        sums["near"] += np.ones(len(ds), kind) @ ds.reshape(len(ds), -1)
+        flat = moved.reshape(-1, 4 * n)
+        sums["joint"] += here["x"].reshape(-1, n).T @ flat
+        if vectors:
+            np.matmul(joint, flat.T, out=back[:, first * length : first * length + len(flat)])
+
+    by = np.split(sums["joint"], 4, axis=1)
+    g = {name: sums[name] for name in ("out", "level", "seen", "shift")}
+    g |= {"q": by[0] * scale, "k": by[1], "v": by[2], "own": by[3]}
+    by_place = sums["near"] * (distance >= 0).ravel()
+    g["near"] = np.bincount(np.maximum(distance, 0).ravel(), by_place, LENGTH).astype(kind)
     if vectors:
-        dx = dk @ w["k"].T + dv @ w["v"].T
-        dx[:, asked] += pre @ w["own"].T + dq @ w["q"].T
-        ids = given.ravel()
-        flat = dx.reshape(-1, SIZE)
-        g["embed"] = np.stack(
-            [np.bincount(ids, flat[:, n], len(w["embed"])) for n in range(SIZE)], axis=1
-        ).astype(np.float32)
+        ids = given.ravel().astype(np.intp, copy=False)
+        g["embed"] = np.stack([np.bincount(ids, x, len(w["embed"])) for x in back], axis=1).astype(kind)
     return loss, g
 
 
@@ -286,13 +354,19 @@ def pair_table(given: np.ndarray, target: np.ndarray, frequent: np.ndarray, voca
     return table.reshape(len(frequent), features)
 
 
-def cluster(counts: np.ndarray, table: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """A class and a starting vector for every id, by the ids that stand before it."""
+def cluster(
+    counts: np.ndarray, table: np.ndarray, seed: int = 5
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes and slots of all ids, and a starting vector for every slot, by the ids that
+    stand before."""
     vocabulary = len(counts)
     random = np.random.default_rng(seed)
     frequent = frequent_ids(counts)
-    vectors = random.normal(0, 0.1, (vocabulary, SIZE)).astype(np.float32)
-    classes = CLASSES + np.arange(vocabulary) * 2654435761 % 2**32 % 4
+    rest = np.arange(vocabulary) * 2654435761 % 2**32 % 4
+    classes, slots = CLASSES + rest, len(frequent) + rest
+    slots[frequent] = np.arange(len(frequent))
+    slots = np.unique(slots, return_inverse=True)[1]
+    vectors = random.normal(0, 0.1, (slots.max() + 1, SIZE)).astype(np.float32)
     if len(frequent) > CLASSES:
         table = np.sqrt(table.astype(np.float32))
         table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-6)
@@ -307,8 +381,13 @@ def cluster(counts: np.ndarray, table: np.ndarray, seed: int = 5) -> tuple[np.nd
             sums = np.stack([np.bincount(nearest, weight * low[:, n], CLASSES) for n in range(SIZE)], 1)
             centers = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1)[:, None], centers)
         classes[frequent] = nearest
-        vectors[frequent] = low
-    return classes.astype(np.int64), vectors
+        vectors[: len(frequent)] = low
+    return classes.astype(np.int64), slots, vectors
+
+
+def no_windows() -> tuple[np.ndarray, np.ndarray]:
+    """``windows`` and ``valid`` of ``train`` for a model that rests on counts alone."""
+    return np.zeros((0, LENGTH + 1), np.int64), np.zeros((0, LENGTH), np.float32)
 
 
 def train(
@@ -328,7 +407,7 @@ def train(
     vocabulary = len(counts)
     if table is None:
         table = pair_table(windows[:, :-1].ravel(), windows[:, 1:].ravel(), frequent_ids(counts), vocabulary)
-    classes, vectors = cluster(counts, table)
+    classes, slots, vectors = cluster(counts, table)
     total = CLASSES + 4
     random = np.random.default_rng(11)
 
@@ -347,6 +426,7 @@ def train(
     taken = Steps(w, RATE)
     for step in range(1, steps + 1 if len(windows) else 1):
         rows = random.integers(0, len(windows), BATCH)
-        _, g = gradients(w, windows[rows, :-1], classes[windows[rows, 1:]], valid[rows])
+        _, g = gradients(w, slots[windows[rows, :-1]], classes[windows[rows, 1:]], valid[rows])
         w = taken.taken(w, g, min(1.0, 1.1 - step / steps))
-    return Model(w, classes, np.log10(smooth / mass[classes]), end)
+    w["embed"] = w["embed"][slots]
+    return Model(w, classes, np.log10(smooth / mass[classes]), end, slots)

@@ -5,12 +5,13 @@ model sees each word as its subword ids in a public vocabulary. Training documen
 whose crc32(id as text) mod 5 is not 1.
 
 **Training covers all of them.** Word counts and the shares of ids are counts over all. So are
-the pairs of frequent ids that classes of ids and the ids' vectors are made from. The
-weights start from steps on a bounded sample of windows and then move in one pass over every
-window of every training document: each task takes steps on its own windows, and the
-weights' moves are averaged by the number of places that a task predicted. What a task
-sends for that is of fixed size. How the rows are dealt to tasks has a small part in
-the weights; a document has one wherever it is.
+the pairs of frequent ids that classes of ids and the start of the ids' vectors are made
+from. The weights and vectors start from these alone. They move in rounds; a training
+document belongs to one round, by the hash of its text, and there every place of it is
+predicted. In a round each task takes steps on its own windows, and the tasks' moves are
+averaged by the number of places that a task predicted. What a task sends for that is of
+fixed size. How the rows are dealt to tasks has a small part in the weights; a document has
+one wherever it is.
 
 Counts stay distributed. Words are summed in each task before they are shuffled, a word of
 more than ``LONGEST`` bytes under a digest. The most frequent ones, ``COMMON`` at most, go to
@@ -39,15 +40,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm import attention, bpe
-from orderflow.llm.common import remainder, slices, small_batches, staged, with_columns
+from orderflow.llm.common import remainder, small_batches, staged, with_columns
 
 HELD_OUT = 1
 COMMON = 300_000
 LONGEST = 40
 GRADES = 16
 FLUSH = 1_000_000
-SAMPLE_DOCUMENTS = 2_000
-SAMPLE_WINDOWS = 30_000
+SAMPLE_DOCUMENTS = 0
+"""Documents that steps are taken on before the rounds over all: none."""
+RATES = (0.02, 0.02, 0.01, 0.005)
+"""The size of steps in each round over its share of the documents."""
+LEAST = 8
+"""Windows of a step at least; small corpora take more steps on fewer windows."""
 END = b"\n"
 """Stands for the end in the counts table; no word holds white space."""
 END_ID = 50_256
@@ -239,33 +244,6 @@ def sequences_of(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, KEPT_AS).astype(np.int32) for x in column.to_pylist()]
 
 
-def sample_windows(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of a bounded sample of ``first, ids``, and which places are inside their text."""
-    span = attention.LENGTH
-
-    def start():
-        def work(rows):
-            found = []
-            for ids in rows:
-                row = np.concatenate(([END_ID], np.frombuffer(ids, KEPT_AS), [END_ID])).astype(int)
-                found.append([row[n : n + span + 1].tolist() for n in range(0, len(row) - 1, span)])
-            return [found]
-
-        return work
-
-    chosen = slices(training, F.col("first"), SAMPLE_DOCUMENTS)
-    rows = with_columns(chosen, ["ids"], "windows array<array<int>>", start)
-    rows = staged(rows.select("first", F.posexplode("windows").alias("n", "window")), "lm-windows")
-    chosen = slices(rows, F.concat_ws("/", "first", "n"), SAMPLE_WINDOWS)
-    ids = [r.window for r in chosen.orderBy("first", "n").collect()]
-    windows = np.full((len(ids), span + 1), END_ID, np.int64)
-    valid = np.zeros((len(ids), span), np.float32)
-    for n, row in enumerate(ids):
-        windows[n, : len(row)] = row
-        valid[n, : len(row) - 1] = 1
-    return windows, valid
-
-
 def pair_counts(training: DataFrame, frequent: np.ndarray) -> np.ndarray:
     """``attention.pair_table`` of all training texts."""
     shape = (len(frequent), min(attention.FEATURES, len(frequent)))
@@ -288,38 +266,42 @@ def pair_counts(training: DataFrame, frequent: np.ndarray) -> np.ndarray:
     return table.reshape(shape)
 
 
-def passed_over(training: DataFrame, model: attention.Model) -> attention.Model:
-    """The model after one pass over all training texts, the tasks' moves averaged."""
+def passed_over(training: DataFrame, model: attention.Model, rate: float, batch: int) -> attention.Model:
+    """The model after one pass over all places of the training texts, the tasks' moves averaged."""
     shared = training.sparkSession.sparkContext.broadcast(model)
-    sizes = {n: x.shape for n, x in model.weights.items() if n != "embed"}
+    sizes = {"vectors" if n == "embed" else n: x.shape for n, x in model.by_slot.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moves, count = shared.value.passed_over(sequences_of(b.column(0)) for b in batches)
+        moves, count = shared.value.passed_over((sequences_of(b.column(0)) for b in batches), rate, batch)
         flat = np.concatenate([*(moves[n].ravel().astype(float) * count for n in sizes), [count]])
-        arrays = [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)]
+        at = np.flatnonzero(flat)
+        arrays = [pa.array(at.astype(np.int32)), pa.array(flat[at])]
         if count:
             yield pa.RecordBatch.from_arrays(arrays, names=["at", "move"])
 
     parts = training.select("ids").mapInArrow(run, "at int, move double")
-    rows = parts.groupBy("at").agg(F.sum("move").alias("move")).orderBy("at").collect()
-    if not rows:
+    sums = parts.groupBy("at").agg(F.sum("move").alias("move")).toArrow()
+    shared.unpersist()
+    if not sums.num_rows:
         return model
-    flat = np.array([r.move for r in rows])
-    flat, by, at = flat[:-1] / flat[-1], {}, 0
-    for name, shape in sizes.items():
-        size = int(np.prod(shape))
-        by[name] = flat[at : at + size].reshape(shape).astype(np.float32)
-        at += size
-    return model.moved(by)
+    room = [int(np.prod(shape)) for shape in sizes.values()]
+    flat = np.zeros(sum(room) + 1)
+    flat[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
+    pieces = np.split(flat[:-1] / flat[-1], np.cumsum(room)[:-1])
+    return model.moved({n: x.reshape(shape) for (n, shape), x in zip(sizes.items(), pieces)})
 
 
 def trained(training: DataFrame) -> attention.Model:
     """A model of all rows ``first, ids``."""
     counts = id_counts(training)
-    windows, valid = sample_windows(training)
     table = pair_counts(training, attention.frequent_ids(counts))
-    model = attention.train(windows, valid, counts, END_ID, attention.STEPS, table)
-    return passed_over(training, model)
+    model = attention.train(*attention.no_windows(), counts, END_ID, 0, table)
+    windows = int(counts.sum()) // attention.LENGTH
+    batch = min(attention.BATCH, max(LEAST, windows // max(1, attention.STEPS)))
+    for turn, rate in enumerate(RATES):
+        chosen = F.pmod(F.col("first"), F.lit(len(RATES))) == turn
+        model = passed_over(training.where(chosen), model, rate, batch)
+    return model
 
 
 def model_scores(rows: DataFrame, model: attention.Model) -> DataFrame:

@@ -103,6 +103,18 @@ def test_pass_over_sequences_learns():
     assert model.passed_over([])[1] == 0
 
 
+def test_pass_predicts_every_place_and_moves_all_vectors():
+    model, _ = small_model(steps=0)
+    draw = np.random.default_rng(4)
+    texts = [draw.integers(0, 49, n).astype(np.int32) for n in (0, 1, 31, 32, 33, 200)]
+    moves, count = model.passed_over([texts[:2], texts[2:]])
+    assert count == sum(len(x) + 1 for x in texts)
+    assert all(np.abs(x).max() > 0 for x in moves.values())
+    after = model.moved(moves)
+    seen = np.unique(np.concatenate(texts))
+    assert (np.abs(after.weights["embed"] - model.weights["embed"]).max(axis=1)[seen] > 0).all()
+
+
 def test_pair_table():
     counts = np.bincount([5] * 9 + [7] * 8 + [2] * 7 + [3] * 2, minlength=10).astype(float)
     frequent = attention.frequent_ids(counts)
@@ -138,6 +150,20 @@ def test_every_training_document_changes_the_model(spark, monkeypatch):
     assert not np.allclose(with_it.inside, without.inside)
 
 
+def test_no_document_is_trained_on_apart_from_the_others(spark, monkeypatch):
+    """Every training document is in one round, and no steps come before the rounds."""
+    ids = np.arange(30, dtype="<u2").tobytes()
+    rows = spark.createDataFrame([(n * 7919 - 99, ids) for n in range(40)], "first long, ids binary")
+    kept, rounds, steps = attention.train, [], []
+    monkeypatch.setattr(attention, "train", lambda *a: (steps.append((len(a[0]), a[4])), kept(*a))[1])
+    monkeypatch.setattr(
+        lm_scoring, "passed_over", lambda t, m, *a: (rounds.append([r.first for r in t.collect()]), m)[1]
+    )
+    lm_scoring.trained(rows)
+    assert steps == [(0, 0)]
+    assert sorted(n for found in rounds for n in found) == sorted(r.first for r in rows.collect())
+
+
 def plain(texts):
     def tokens(text):
         low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
