@@ -59,7 +59,7 @@ class Model:
         if not len(sequences):
             return total
         given, target, starts, ends = laid_out(sequences, self.end)
-        lengths = ends - starts
+        given, lengths = given.astype(np.intp), ends - starts
         later = np.maximum(0, -(-(lengths - LENGTH) // STRIDE))
         place = np.arange(later.sum()) - np.repeat(np.cumsum(later) - later, later) + 1
         groups = [
@@ -93,17 +93,17 @@ class Model:
             if not sequences:
                 continue
             given, target, starts, ends = laid_out(sequences, self.end)
-            given, target = self.slots[given], self.classes[target]
-            room = -(-(ends - starts) // LENGTH)
-            owner = np.repeat(np.arange(len(room)), room)
-            begin = starts[owner] + LENGTH * (np.arange(len(owner)) - np.repeat(np.cumsum(room) - room, room))
-            for n in range(0, len(begin), batch):
-                rows = begin[n : n + batch, None] + np.arange(LENGTH)
-                valid = (rows < ends[owner[n : n + batch], None]).astype(np.float32)
-                rows = np.minimum(rows, len(target) - 1)
-                _, g = gradients(w, given[rows], target[rows], valid)
+            room = -(-(ends - starts) // LENGTH) * LENGTH
+            at = np.arange(len(given)) + np.repeat(np.cumsum(room) - room - starts, ends - starts)
+            ids, wanted = np.zeros((2, room.sum() // LENGTH, LENGTH), np.intp)
+            valid = np.zeros(ids.shape, np.float32)
+            ids.ravel()[at], wanted.ravel()[at] = self.slots[given], self.classes[target]
+            valid.ravel()[at] = 1
+            for n in range(0, len(ids), batch):
+                part = slice(n, n + batch)
+                _, g = gradients(w, ids[part], wanted[part], valid[part], with_loss=False)
                 w = steps.taken(w, g)
-                count += int(valid.sum())
+            count += len(given)
         moves = {name: w[name] - x for name, x in self.by_slot.items()}
         moves["vectors"] = moves.pop("embed")
         return moves, count
@@ -214,34 +214,38 @@ def gradients(
     valid: np.ndarray,
     asked: np.ndarray | None = None,
     vectors: bool = True,
+    with_loss: bool = True,
 ):
     """Mean loss over the valid places and its gradient for all weights.
 
     ``asked`` are the places whose next class is ``wanted``, all by default; without
-    ``vectors`` the ids' vectors have no gradient.
+    ``vectors`` the ids' vectors have no gradient, without ``with_loss`` the loss is 0.
     """
     length, kind, n = given.shape[1], w["embed"].dtype.type, SIZE
     every = asked is None
     asked = np.arange(length) if every else asked
     masked, distance = bias(w, length, asked), asked[:, None] - np.arange(length)
     scale = kind(1 / np.sqrt(n))
-    # The columns of q, k, v, one of ones, which sums up what v is multiplied with, and own.
-    joint = np.concatenate((w["q"] * scale, w["k"], w["v"], np.zeros((n, 1), kind), w["own"]), axis=1)
-    by_id = w["embed"] @ joint
-    by_id[:, 3 * n] = 1
-    joint = np.delete(joint, 3 * n, axis=1)
+    # The columns of q, k, v, one of ones, which sums up what v is multiplied with, own, and
+    # one that becomes 1 by tanh, for the classes' levels.
+    joint = np.concatenate((w["q"] * scale, w["k"], w["v"], w["own"]), axis=1)
+    none = np.zeros((n + 1, 1), kind)
+    by_id = w["embed"] @ np.concatenate((joint[:, : 3 * n], none[1:], w["own"], none[1:]), axis=1)
+    by_id[:, 3 * n], by_id[:, -1] = 1, 100
+    seen = np.concatenate((np.vstack((w["seen"], w["shift"])), none), axis=1)
     ends = np.vstack((w["out"], w["level"]))
     reach = np.sqrt(np.einsum("imj,imj->im", *[by_id[:, : 2 * n].reshape(-1, 2, n)] * 2).max(axis=0))
     steady = reach.prod() + np.abs(w["near"]).max() < STEADY and np.abs(ends).sum(axis=0).max() < STEADY
     count = max(1, int(valid.sum()))
 
     few, per = min(TOGETHER, len(given)), len(asked)
-    sizes = {"parts": (length, 4 * n + 1), "x": (length, n), "a": (per, length), "ds": (per, length)}
+    sizes = {"parts": (length, 4 * n + 2), "x": (length, n), "a": (per, length), "ds": (per, length)}
     sizes |= {"context": (per, n + 1), "dc": (per, n + 1), "h": (per, n + 1), "z": (per, ends.shape[1])}
     sizes |= {"moved": (length, 4 * n), "pre": (per, n)}
-    room = {name: np.zeros((few, *size), kind) for name, size in sizes.items()}
-    sums = {"out": 0, "level": 0, "seen": 0, "shift": 0, "near": 0, "joint": 0}
-    back = np.empty((n, given.size if vectors else 0), kind)
+    room = {name: np.empty((few, *size), kind) for name, size in sizes.items()}
+    room["moved"][:] = 0
+    sums = {"ends": 0, "seen": 0, "near": 0, "joint": 0}
+    back = np.empty((given.size if vectors else 0, n), kind)
     loss = 0.0
     for first in range(0, len(given), few):
         ids, classes = given[first : first + few], wanted[first : first + few].ravel()
@@ -263,18 +267,17 @@ def gradients(
         np.matmul(a, v, out=here["context"])
         part = 1 / context[:, n]
         context *= part[:, None]
-        np.matmul(context[:, :n], w["seen"], out=pre)
-        pre += w["shift"]
-        np.add(pre.reshape(-1, per, n), asking[..., 3 * n + 1 :], out=here["h"][..., :n])
+        np.matmul(context, seen, out=h)
+        here["h"] += asking[..., 3 * n + 1 :]
         np.tanh(h, out=h)
-        h[:, n] = 1
         np.matmul(h, ends, out=z)
         if not steady:
             z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
         mass = z @ np.ones(z.shape[1], kind)
         at = np.arange(len(z)) * z.shape[1] + classes
-        loss -= float(np.log(np.maximum(z.ravel()[at] / mass, 1e-30)) @ counts) / count
+        if with_loss:
+            loss -= float(np.log(np.maximum(z.ravel()[at] / mass, 1e-30)) @ counts) / count
 
         # Below, z times its row's share is the gradient of what stood in the exponentials.
         z.ravel()[at] -= mass
@@ -292,28 +295,29 @@ def gradients(
         ds *= a
         np.matmul(a.transpose(0, 2, 1), here["dc"][..., :n], out=moved[..., 2 * n : 3 * n])
         np.matmul(ds.transpose(0, 2, 1), q, out=moved[..., n : 2 * n])
-        at = slice(None) if every else asked
-        moved[:, at, :n] = np.matmul(ds, k)
-        moved[:, at, 3 * n :] = here["pre"]
+        if every:
+            np.matmul(ds, k, out=moved[..., :n])
+            moved[..., 3 * n :] = here["pre"]
+        else:
+            moved[:, asked, :n] = np.matmul(ds, k)
+            moved[:, asked, 3 * n :] = here["pre"]
         h *= share
-        sums["out"] += h[:, :n].T @ z
-        sums["level"] += share[:, 0] @ z
-        sums["seen"] += context[:, :n].T @ pre
-        sums["shift"] += np.ones(len(pre), kind) @ pre
+        sums["ends"] += h.T @ z
+        sums["seen"] += context.T @ pre
         sums["near"] += np.ones(len(ds), kind) @ ds.reshape(len(ds), -1)
         flat = moved.reshape(-1, 4 * n)
         sums["joint"] += here["x"].reshape(-1, n).T @ flat
         if vectors:
-            np.matmul(joint, flat.T, out=back[:, first * length : first * length + len(flat)])
+            np.matmul(flat, joint.T, out=back[first * length : first * length + len(flat)])
 
     by = np.split(sums["joint"], 4, axis=1)
-    g = {name: sums[name] for name in ("out", "level", "seen", "shift")}
+    g = {"out": sums["ends"][:n], "level": sums["ends"][n], "seen": sums["seen"][:n], "shift": sums["seen"][n]}
     g |= {"q": by[0] * scale, "k": by[1], "v": by[2], "own": by[3]}
     by_place = sums["near"] * (distance >= 0).ravel()
     g["near"] = np.bincount(np.maximum(distance, 0).ravel(), by_place, LENGTH).astype(kind)
     if vectors:
-        ids = given.ravel().astype(np.intp, copy=False)
-        g["embed"] = np.stack([np.bincount(ids, x, len(w["embed"])) for x in back], axis=1).astype(kind)
+        cells = (given.reshape(-1, 1).astype(np.intp, copy=False) * n + np.arange(n)).ravel()
+        g["embed"] = np.bincount(cells, back.ravel(), w["embed"].size).reshape(-1, n).astype(kind)
     return loss, g
 
 
@@ -345,13 +349,13 @@ def frequent_ids(counts: np.ndarray) -> np.ndarray:
 
 def pair_table(given: np.ndarray, target: np.ndarray, frequent: np.ndarray, vocabulary: int) -> np.ndarray:
     """How often each frequent id stands after each of the ``FEATURES`` most frequent ones."""
-    slot = np.full(vocabulary, -1)
-    slot[frequent] = np.arange(len(frequent))
-    features = min(FEATURES, len(frequent))
-    a, b = slot[given], slot[target]
-    ok = (a >= 0) & (a < features) & (b >= 0)
-    table = np.bincount(b[ok] * features + a[ok], minlength=len(frequent) * features)
-    return table.reshape(len(frequent), features)
+    many, features = len(frequent), min(FEATURES, len(frequent))
+    # One row and one column more take what is not counted.
+    row, column = np.full(vocabulary, many * (features + 1)), np.full(vocabulary, features)
+    row[frequent] = np.arange(many) * (features + 1)
+    column[frequent[:features]] = np.arange(features)
+    table = np.bincount(row[target] + column[given], minlength=(many + 1) * (features + 1))
+    return table.reshape(many + 1, features + 1)[:many, :features]
 
 
 def cluster(

@@ -65,6 +65,9 @@ class Vocabulary:
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.joined = np.array([ids[a + b] for a, b in pairs], np.int64)
 
+        # What binary search gives for every two bytes.
+        self.byte_ranks = self._ranks_of(self.first[:, None], self.first)
+
         size = 1 + max([*ids.values(), *self.special.values()])
         pieces = [b""] * size
         for token, number in ids.items():
@@ -88,11 +91,12 @@ class Vocabulary:
         out: list[bytes] = [b""] * len(words)
         if not words:
             return out
-        symbols = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        symbols = self.first[raw]
         lengths = np.array([len(w) for w in words], np.int64)
         owner = np.arange(len(words))
         ranks = np.full(len(symbols), NONE)
-        ranks[:-1] = self._ranks_of(symbols[:-1], symbols[1:])
+        ranks[:-1] = self.byte_ranks[raw[:-1], raw[1:]]
         ranks[np.cumsum(lengths) - 1] = NONE
         while len(owner):
             starts = np.cumsum(lengths) - lengths

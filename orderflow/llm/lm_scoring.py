@@ -28,14 +28,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +48,7 @@ GRADES = 16
 FLUSH = 1_000_000
 SAMPLE_DOCUMENTS = 0
 """Documents that steps are taken on before the rounds over all: none."""
-RATES = (0.02, 0.02, 0.01, 0.005)
+RATES = (0.02, 0.01, 0.005)
 """The size of steps in each round over its share of the documents."""
 LEAST = 8
 """Windows of a step at least; small corpora take more steps on fewer windows."""
@@ -62,16 +61,20 @@ KEPT_AS = "<u2"
 
 MARKS = [b".", b",", b";", b":", b"!", b"?"]
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
+def words_in(texts: pa.Array) -> pa.ListArray:
+    """The words of each text; a null text has none."""
+    low = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(low, ""), None, low))
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
 
-
-def named(word: bytes) -> bytes:
-    """The word, or what stands for a long one in counts; no word holds white space."""
-    return word if len(word) <= LONGEST else b"\t" + hashlib.md5(word).hexdigest().encode()
+def named(words: pa.Array) -> pa.Array:
+    """The words, with what stands for long ones in counts; no word holds white space."""
+    long = pc.greater(pc.binary_length(words), LONGEST)
+    found = words.filter(long).cast(pa.binary()).to_pylist()
+    if not found:
+        return words
+    return pc.replace_with_mask(words, long, pa.array(["\t" + hashlib.md5(w).hexdigest() for w in found]))
 
 
 def subwords(model: bpe.Vocabulary, words: list[bytes]) -> list[bytes]:
@@ -79,7 +82,8 @@ def subwords(model: bpe.Vocabulary, words: list[bytes]) -> list[bytes]:
 
     Letters alone are one piece to the vocabulary, and so is a mark at their end.
     """
-    heads = [w[:-1] if w[-1:] in MARKS else w for w in words]
+    ends = frozenset(MARKS)
+    heads = [w[:-1] if w[-1:] in ends else w for w in words]
     whole = [h.decode("utf-8", "replace").isalpha() for h in heads]
     marks = dict(zip([b"", *MARKS], [b"", *model.merge(MARKS)]))
     merged = iter(model.merge([b" " + h for h, plain in zip(heads, whole) if plain]))
@@ -102,53 +106,55 @@ def laid_flat(coded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Lexicon:
     """Common words with their log shares and ids, and the log share of an end."""
 
-    words: list[bytes]
+    words: pa.Array
     logs: np.ndarray
     ids: np.ndarray
     lengths: np.ndarray
     path: str
 
     @cached_property
-    def number(self) -> dict[bytes, int]:
-        return {w: n for n, w in enumerate(self.words)}
+    def end(self) -> int:
+        return int(self.places(pa.array([END.decode()]))[0])
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The number of each word, -1 for others."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
 
-    def read(self, texts: list[str | None]) -> dict[str, pa.Array]:
+    def read(self, texts: pa.Array) -> dict[str, pa.Array]:
         """For each text its number of tokens, the sum of logs of its common ones, its other
         words with their times, and its ids."""
-        split = [words_of(t) for t in texts]
-        lengths = np.array([len(words) for words in split], np.int64)
+        split = words_in(texts)
+        lengths = pc.fill_null(pc.list_value_length(split), 0).to_numpy().astype(np.int64)
         doc = np.repeat(np.arange(len(split)), lengths)
-        flat = list(chain.from_iterable(split))
-        at = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
-        missing = np.flatnonzero(at < 0)
-        new: dict[bytes, int] = {}
-        for n in missing.tolist():
-            new.setdefault(flat[n], len(new))
-        common = len(self.words)
-        at[missing] = np.fromiter((common + new[flat[n]] for n in missing.tolist()), np.int64, len(missing))
-        ids, rooms = laid_flat(subwords(bpe.vocabulary(self.path), list(new)))
-        names = [named(w) for w in new]
-        place = np.array([self.number.get(w, -1) for w in names], np.int64)
+        flat = split.flatten().dictionary_encode()
+        names = named(flat.dictionary)
+        number = self.places(names)
+        # Long words alone may be common under another name; their ids are made here all the same.
+        other_name = np.where(pc.binary_length(flat.dictionary).to_numpy() > LONGEST, number, -1)
+        number[other_name >= 0] = -1
+        missing = np.flatnonzero(number < 0)
+        new, common = flat.dictionary.take(pa.array(missing)), len(self.words)
+        number[missing] = common + np.arange(len(new))
+        at = number[flat.indices.to_numpy()]
+        ids, rooms = laid_flat(subwords(bpe.vocabulary(self.path), new.cast(pa.binary()).to_pylist()))
+        names, place = names.take(pa.array(missing)), other_name[missing]
         logs = np.append(self.logs, np.append(self.logs, 0.0)[place])
         part = np.bincount(doc, logs[at], len(split)).astype(float)
         # The end is one more token of every text.
-        end = self.number.get(END, -1)
-        part += self.logs[end] if end >= 0 else 0.0
+        part += self.logs[self.end] if self.end >= 0 else 0.0
 
         other = at >= common
         other[other] = place[at[other] - common] < 0
         pairs, times = np.unique(doc[other] * max(1, len(new)) + at[other] - common, return_counts=True)
-        owner = pairs // max(1, len(new))
-        values = [names[n] for n in (pairs % max(1, len(new))).tolist()]
-        if end < 0:
-            values += [END] * len(split)
-            times = np.append(times, np.ones(len(split), np.int64))
+        owner, which = pairs // max(1, len(new)), pairs % max(1, len(new))
+        if self.end < 0:
+            names = pa.concat_arrays([names, pa.array([END.decode()])])
             owner = np.append(owner, np.arange(len(split)))
             order = np.argsort(owner, kind="stable")
-            values, times, owner = [values[n] for n in order.tolist()], times[order], owner[order]
+            which = np.append(which, np.full(len(split), len(new)))[order]
+            times, owner = np.append(times, np.ones(len(split), np.int64))[order], owner[order]
         rest = pa.StructArray.from_arrays(
-            [pa.array([v.decode("utf-8", "replace") for v in values], pa.string()), pa.array(times, pa.int64())],
-            names=["word", "times"],
+            [names.take(pa.array(which)), pa.array(times, pa.int64())], names=["word", "times"]
         )
         cuts = np.searchsorted(owner, np.arange(len(split) + 1)).astype(np.int32)
 
@@ -171,24 +177,23 @@ def word_counts(training: DataFrame, text: str = "text") -> DataFrame:
     """``word, count`` over all texts, ends included."""
     small_batches(training.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def rows():
-            names = pa.array([w.decode("utf-8", "replace") for w in counts], pa.string())
-            numbers = pa.array(list(counts.values()), pa.int64())
-            return pa.RecordBatch.from_arrays([names, numbers], names=["word", "times"])
+    def summed(held: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("times", "sum")])
+        return table.select(["word", "times_sum"]).rename_columns(["word", "times"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                words = words_of(value)
-                counts.update(words if len(max(words, key=len, default=b"")) <= LONGEST else map(named, words))
-                counts[END] += 1
-                if len(counts) > FLUSH:
-                    yield rows()
-                    counts.clear()
-        if counts:
-            yield rows()
+            found = words_in(batch.column(0)).flatten().value_counts()
+            ends = pa.table({"word": [END.decode()], "times": [batch.num_rows]})
+            held += [pa.table({"word": named(found.field(0)), "times": found.field(1)}), ends]
+            if sum(x.num_rows for x in held) > FLUSH:
+                held = [summed(held)]
+                # What is summed up to little goes on with the next texts.
+                if held[0].num_rows > FLUSH // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from summed(held).to_batches()
 
     parts = training.select(text).mapInArrow(run, "word string, times long")
     return parts.groupBy("word").agg(F.sum("times").alias("count"))
@@ -213,11 +218,12 @@ def most_common(counts: DataFrame) -> DataFrame:
 
 def lexicon(counts: DataFrame, floor: float, path: str) -> Lexicon:
     """The common words with ``log10(count + 0.5) - floor``."""
-    table = most_common(counts).select(F.col("word").cast("binary"), "count").toArrow()
-    words = table.column(0).to_pylist()
+    table = most_common(counts).select("word", "count").toArrow()
+    words = pa.concat_arrays(table.column(0).cast(pa.string()).chunks or [pa.array([], pa.string())])
     logs = np.log10(table.column(1).to_numpy() + 0.5) - floor
     # Ends and what stands for long words are no words of a text; their ids are never read.
-    ids, lengths = laid_flat(subwords(bpe.vocabulary(path), [w if w[:1].strip() else b"x" for w in words]))
+    read = [w if w[:1].strip() else b"x" for w in words.cast(pa.binary()).to_pylist()]
+    ids, lengths = laid_flat(subwords(bpe.vocabulary(path), read))
     return Lexicon(words, logs, ids, lengths, path)
 
 
@@ -337,7 +343,7 @@ def prepared(documents: DataFrame, words: Lexicon, held, key: str, text: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = shared.value.read(batch.column(4).to_pylist())
+            found = shared.value.read(batch.column(4))
             names = [*batch.schema.names[:4], *found]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], *found.values()], names=names)
 

@@ -1,8 +1,10 @@
 import math
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderflow.llm import attention, lm_scoring
@@ -199,6 +201,22 @@ def test_query(spark, tables_dir, monkeypatch):
     check(rows, [tuple(r) for r in documents.collect()])
 
 
+def test_words_end_at_white_space_only():
+    """Words are split and lowered as the contract says, whatever other characters there are."""
+    texts = [f"x{chr(n)}Y" for n in range(0x3100)] + ["", None, " ", "\n a  B\t", "É \x85\x1c\u3000z "]
+    found = lm_scoring.words_in(pa.array(texts)).to_pylist()
+    low = str.maketrans({chr(n): chr(n + 32) for n in range(65, 91)})
+    assert [x or [] for x in found] == [
+        [w for w in re.split("[\x20\x09-\x0D]+", (t or "").translate(low)) if w] for t in texts
+    ]
+
+
+def test_word_counts_of_one_task(spark):
+    rows = spark.createDataFrame([(f"a b{n} A",) for n in range(50)], "text string").coalesce(1)
+    counts = lm_scoring.word_counts(rows)
+    assert sorted((r.word, r["count"]) for r in counts.collect())[:2] == [("\n", 50), ("a", 100)]
+
+
 @pytest.mark.parametrize("common", [0, 2, 300_000])
 def test_odd_texts(spark, monkeypatch, common):
     monkeypatch.setattr(lm_scoring, "COMMON", common)
