@@ -303,7 +303,7 @@ def trained(training: DataFrame) -> attention.Model:
     table = pair_counts(training, attention.frequent_ids(counts))
     model = attention.train(*attention.no_windows(), counts, END_ID, 0, table)
     windows = int(counts.sum()) // attention.LENGTH
-    batch = min(attention.BATCH, max(LEAST, windows // max(1, attention.STEPS)))
+    batch = min(attention.BATCH, max(LEAST, windows // (4 * attention.STEPS)))
     for turn, rate in enumerate(RATES):
         chosen = F.pmod(F.col("first"), F.lit(len(RATES))) == turn
         model = passed_over(training.where(chosen), model, rate, batch)
