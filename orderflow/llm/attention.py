@@ -30,8 +30,9 @@ PARTS = 1
 """A pass predicts one of so many parts of the places: all of them."""
 ROWS = 256
 """Windows that are scored at once; few, so that their arrays stay in a core's cache."""
-TOGETHER = 32
-"""Windows whose gradients are worked out at once, for the same reason."""
+TOGETHER = 24
+"""Windows whose gradients are worked out at once, for the same reason; products of matrices
+of that size are also the fastest."""
 STEADY = 60.0
 """Sums of exponentials of numbers up to this one are exact enough in 32 bits."""
 
@@ -59,7 +60,7 @@ class Model:
         if not len(sequences):
             return total
         given, target, starts, ends = laid_out(sequences, self.end)
-        given, lengths = given.astype(np.intp), ends - starts
+        given, lengths = self.slots[given], ends - starts
         later = np.maximum(0, -(-(lengths - LENGTH) // STRIDE))
         place = np.arange(later.sum()) - np.repeat(np.cumsum(later) - later, later) + 1
         groups = [
@@ -121,9 +122,9 @@ class Model:
         return Model(weights, self.classes, self.inside, self.end, self.slots)
 
     @cached_property
-    def by_id(self) -> dict[str, np.ndarray]:
-        """What each id brings to a window: its place has no part in these."""
-        w, x = self.weights, self.weights["embed"]
+    def brought(self) -> Weights:
+        """What the ids of each slot bring to a window: their place has no part in these."""
+        w, x = self.by_slot, self.by_slot["embed"]
         return {
             "q": x @ w["q"] / np.float32(np.sqrt(SIZE)),
             "k": x @ w["k"],
@@ -135,15 +136,14 @@ class Model:
 
     @cached_property
     def steady(self) -> bool:
-        """Whether the weights bound all exponents so that no maximum has to be taken off."""
-        w, parts = self.weights, self.by_id
-        q, k = (float(np.linalg.norm(parts[n], axis=1).max()) for n in "qk")
-        levels = np.abs(w["out"]).sum(axis=0) + np.abs(w["level"])
-        return q * k + float(np.abs(w["near"]).max()) < STEADY and float(levels.max()) < STEADY
+        return is_steady(self.by_slot, self.by_slot["q"] / np.float32(np.sqrt(SIZE)))
 
     def class_log10(self, given: np.ndarray, wanted: np.ndarray, first: int) -> np.ndarray:
-        """Log10 probability of the wanted class after each place from ``first`` on."""
-        parts, w, length = self.by_id, self.weights, given.shape[1]
+        """Log10 probability of the wanted class after each place from ``first`` on.
+
+        ``given`` are the slots of ids.
+        """
+        parts, w, length = self.brought, self.by_slot, given.shape[1]
         asking = given[:, first:]
         keys = parts["k"].take(given, axis=0).transpose(0, 2, 1)
         score = np.matmul(parts["q"].take(asking, axis=0), keys)
@@ -224,103 +224,122 @@ def gradients(
     length, kind, n = given.shape[1], w["embed"].dtype.type, SIZE
     every = asked is None
     asked = np.arange(length) if every else asked
-    masked, distance = bias(w, length, asked), asked[:, None] - np.arange(length)
+    masked, distance = bias(w, length, asked).T.copy(), asked - np.arange(length)[:, None]
     scale = kind(1 / np.sqrt(n))
-    # The columns of q, k, v, one of ones, which sums up what v is multiplied with, own, and
+    # Every array has one row for each feature and one column for each place, so that what is
+    # done to a feature is done to long rows.
+    # The rows of q, k, v, one of ones, which sums up what v is multiplied with, own, and
     # one that becomes 1 by tanh, for the classes' levels.
     joint = np.concatenate((w["q"] * scale, w["k"], w["v"], w["own"]), axis=1)
-    none = np.zeros((n + 1, 1), kind)
-    by_id = w["embed"] @ np.concatenate((joint[:, : 3 * n], none[1:], w["own"], none[1:]), axis=1)
-    by_id[:, 3 * n], by_id[:, -1] = 1, 100
-    seen = np.concatenate((np.vstack((w["seen"], w["shift"])), none), axis=1)
-    ends = np.vstack((w["out"], w["level"]))
-    reach = np.sqrt(np.einsum("imj,imj->im", *[by_id[:, : 2 * n].reshape(-1, 2, n)] * 2).max(axis=0))
-    steady = reach.prod() + np.abs(w["near"]).max() < STEADY and np.abs(ends).sum(axis=0).max() < STEADY
+    none = np.zeros((1, n), kind)
+    brings = np.concatenate((joint.T[: 3 * n], none, w["own"].T, none))
+    seen = np.vstack((np.vstack((w["seen"], w["shift"])).T, np.zeros((1, n + 1), kind)))
+    ends = np.vstack((w["out"], w["level"])).T.copy()
+    steady = is_steady(w, w["q"] * scale)
     count = max(1, int(valid.sum()))
 
-    few, per = min(TOGETHER, len(given)), len(asked)
-    sizes = {"parts": (length, 4 * n + 2), "x": (length, n), "a": (per, length), "ds": (per, length)}
-    sizes |= {"context": (per, n + 1), "dc": (per, n + 1), "h": (per, n + 1), "z": (per, ends.shape[1])}
-    sizes |= {"moved": (length, 4 * n), "pre": (per, n)}
-    room = {name: np.empty((few, *size), kind) for name, size in sizes.items()}
-    room["moved"][:] = 0
+    few, per, total = min(TOGETHER, len(given)), len(asked), len(ends)
+    sizes = {"parts": (4 * n + 2, length), "x": (n, length), "a": (length, per), "ds": (length, per)}
+    sizes |= {"context": (n + 1, per), "dc": (n + 1, per), "h": (n + 1, per), "z": (total, per)}
+    sizes |= {"slope": (n + 1, per), "moved": (4 * n, length), "pre": (n, per)}
+    room = {name: np.empty(few * a * b, kind) for name, (a, b) in sizes.items()}
+    many, ones = 0, np.ones(total, kind)
     sums = {"ends": 0, "seen": 0, "near": 0, "joint": 0}
-    back = np.empty((given.size if vectors else 0, n), kind)
+    back = np.empty((n, given.size if vectors else 0), kind)
+    every_place = np.arange(few * per)
     loss = 0.0
     for first in range(0, len(given), few):
         ids, classes = given[first : first + few], wanted[first : first + few].ravel()
         counts = valid[first : first + few].ravel().astype(kind, copy=False)
-        here = {name: x[: len(ids)] for name, x in room.items()}
-        parts, a, ds, moved = here["parts"], here["a"], here["ds"], here["moved"]
-        context, dc, h, z = (here[m].reshape(-1, here[m].shape[2]) for m in ("context", "dc", "h", "z"))
-        pre = here["pre"].reshape(-1, n)
-        np.take(by_id, ids, axis=0, out=parts, mode="clip")
-        np.take(w["embed"], ids, axis=0, out=here["x"], mode="clip")
-        asking = parts if every else parts[:, asked]
-        q, k, v = asking[..., :n], parts[..., n : 2 * n], parts[..., 2 * n : 3 * n + 1]
-
-        np.matmul(q, k.transpose(0, 2, 1), out=a)
+        if many != len(ids):
+            many = len(ids)
+            parts, x, a, ds, context, dc, h, z, slope, moved, pre = (
+                room[m][: many * a * b].reshape(a, many * b) for m, (a, b) in sizes.items()
+            )
+            a, ds = a.reshape(many, length, per), ds.reshape(many, length, per)
+            by, to = by_window(dc, many), by_window(moved, many)
+        x[:] = np.take(w["embed"], ids.ravel(), axis=0).T
+        np.matmul(brings, x, out=parts)
+        parts[3 * n], parts[-1] = 1, 100
+        asking = parts if every else parts.reshape(-1, many, length)[..., asked].reshape(len(parts), -1)
+        q, k, v = (by_window(m, many) for m in (asking[:n], parts[n : 2 * n], parts[2 * n : 3 * n + 1]))
+
+        np.matmul(k.transpose(0, 2, 1), q, out=a)
         a += masked
         if not steady:
-            a -= a.max(axis=2, keepdims=True)
+            a -= a.max(axis=1, keepdims=True)
         np.exp(a, out=a)
-        np.matmul(a, v, out=here["context"])
-        part = 1 / context[:, n]
-        context *= part[:, None]
-        np.matmul(context, seen, out=h)
-        here["h"] += asking[..., 3 * n + 1 :]
+        np.matmul(v, a, out=by_window(context, many))
+        part = 1 / context[n]
+        context *= part
+        np.matmul(seen, context, out=h)
+        h += asking[3 * n + 1 :]
         np.tanh(h, out=h)
-        np.matmul(h, ends, out=z)
+        np.matmul(ends, h, out=z)
         if not steady:
-            z -= z.max(axis=1, keepdims=True)
+            z -= z.max(axis=0)
         np.exp(z, out=z)
-        mass = z @ np.ones(z.shape[1], kind)
-        at = np.arange(len(z)) * z.shape[1] + classes
+        mass = ones @ z
+        at = classes * len(mass) + every_place[: len(mass)]
         if with_loss:
             loss -= float(np.log(np.maximum(z.ravel()[at] / mass, 1e-30)) @ counts) / count
 
-        # Below, z times its row's share is the gradient of what stood in the exponentials.
+        # Below, z times its place's share is the gradient of what stood in the exponentials.
         z.ravel()[at] -= mass
-        share = (counts / (mass * kind(count)))[:, None]
-        np.matmul(z, w["out"].T, out=pre)
-        slope = h * h
+        share = counts / (mass * kind(count))
+        np.matmul(w["out"], z, out=pre)
+        np.multiply(h, h, out=slope)
         np.subtract(1, slope, out=slope)
         slope *= share
-        pre *= slope[:, :n]
-        np.matmul(pre, w["seen"].T, out=dc[:, :n])
-        dc[:, n] = 0
-        dc[:, n] = (dc * context) @ np.full(n + 1, -1, kind)
-        dc *= part[:, None]
-        np.matmul(here["dc"], v.transpose(0, 2, 1), out=ds)
+        pre *= slope[:n]
+        np.matmul(w["seen"], pre, out=dc[:n])
+        np.multiply(dc[:n], context[:n], out=slope[:n])
+        np.negative(slope[:n].sum(axis=0), out=dc[n])
+        dc *= part
+        np.matmul(v.transpose(0, 2, 1), by, out=ds)
         ds *= a
-        np.matmul(a.transpose(0, 2, 1), here["dc"][..., :n], out=moved[..., 2 * n : 3 * n])
-        np.matmul(ds.transpose(0, 2, 1), q, out=moved[..., n : 2 * n])
+        np.matmul(by[:, :n], a.transpose(0, 2, 1), out=to[:, 2 * n : 3 * n])
+        np.matmul(q, ds.transpose(0, 2, 1), out=to[:, n : 2 * n])
         if every:
-            np.matmul(ds, k, out=moved[..., :n])
-            moved[..., 3 * n :] = here["pre"]
+            np.matmul(k, ds, out=to[:, :n])
+            moved[3 * n :] = pre
         else:
-            moved[:, asked, :n] = np.matmul(ds, k)
-            moved[:, asked, 3 * n :] = here["pre"]
+            to[:, :n] = to[:, 3 * n :] = 0
+            to[:, :n, asked] = np.matmul(k, ds)
+            to[:, 3 * n :, asked] = by_window(pre, many)
         h *= share
-        sums["ends"] += h.T @ z
-        sums["seen"] += context.T @ pre
-        sums["near"] += np.ones(len(ds), kind) @ ds.reshape(len(ds), -1)
-        flat = moved.reshape(-1, 4 * n)
-        sums["joint"] += here["x"].reshape(-1, n).T @ flat
+        sums["ends"] += z @ h.T
+        sums["seen"] += context @ pre.T
+        sums["near"] += ds.sum(axis=0)
+        sums["joint"] += moved @ x.T
         if vectors:
-            np.matmul(flat, joint.T, out=back[first * length : first * length + len(flat)])
+            np.matmul(joint, moved, out=back[:, first * length : first * length + x.shape[1]])
 
-    by = np.split(sums["joint"], 4, axis=1)
-    g = {"out": sums["ends"][:n], "level": sums["ends"][n], "seen": sums["seen"][:n], "shift": sums["seen"][n]}
-    g |= {"q": by[0] * scale, "k": by[1], "v": by[2], "own": by[3]}
-    by_place = sums["near"] * (distance >= 0).ravel()
-    g["near"] = np.bincount(np.maximum(distance, 0).ravel(), by_place, LENGTH).astype(kind)
+    of, ends = np.split(sums["joint"].T, 4, axis=1), sums["ends"].T
+    g = {"out": ends[:n], "level": ends[n], "seen": sums["seen"][:n], "shift": sums["seen"][n]}
+    g |= {"q": of[0] * scale, "k": of[1], "v": of[2], "own": of[3]}
+    by_place = sums["near"] * (distance >= 0)
+    g["near"] = np.bincount(np.maximum(distance, 0).ravel(), by_place.ravel(), LENGTH).astype(kind)
     if vectors:
-        cells = (given.reshape(-1, 1).astype(np.intp, copy=False) * n + np.arange(n)).ravel()
-        g["embed"] = np.bincount(cells, back.ravel(), w["embed"].size).reshape(-1, n).astype(kind)
+        ids = given.ravel().astype(np.intp, copy=False)
+        found = [np.bincount(ids, x, len(w["embed"])) for x in back]
+        g["embed"] = np.array(found, kind).T.copy()
     return loss, g
 
 
+def is_steady(w: Weights, q: np.ndarray) -> bool:
+    """Whether the weights bound all exponents so that no maximum has to be taken off."""
+    both = np.square(np.vstack((q.T, w["k"].T)) @ w["embed"].T).reshape(2, SIZE, -1)
+    reach = np.sqrt(both.sum(axis=1).max(axis=1)).prod()
+    levels = np.abs(w["out"]).sum(axis=0) + np.abs(w["level"])
+    return reach + np.abs(w["near"]).max() < STEADY and levels.max() < STEADY
+
+
+def by_window(x: np.ndarray, many: int) -> np.ndarray:
+    """The columns of each of so many windows by themselves."""
+    return x.reshape(len(x), many, -1).transpose(1, 0, 2)
+
+
 class Steps:
     """Steps of equal size in every direction, by running means of gradients and squares."""
 
@@ -328,16 +347,24 @@ class Steps:
         self.rate, self.number = rate, 0
         self.first = {n: np.zeros_like(x) for n, x in w.items()}
         self.second = {n: np.zeros_like(x) for n, x in w.items()}
+        self.room = {n: np.empty_like(x) for n, x in w.items()}
 
     def taken(self, w: Weights, g: Weights, share: float = 1.0) -> Weights:
         self.number += 1
         out = dict(w)
         for name, x in g.items():
-            self.first[name] += 0.1 * (x - self.first[name])
-            self.second[name] += 0.02 * (x * x - self.second[name])
-            a = self.first[name] / (1 - 0.9**self.number)
-            b = self.second[name] / (1 - 0.98**self.number)
-            out[name] = (w[name] - self.rate * share * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
+            first, second, room = self.first[name], self.second[name], self.room[name]
+            first *= 0.9
+            first += np.multiply(x, 0.1, out=room)
+            second *= 0.98
+            np.multiply(x, x, out=room)
+            room *= 0.02
+            second += room
+            np.sqrt(np.divide(second, 1 - 0.98**self.number, out=room), out=room)
+            room += 1e-8
+            np.divide(first, room, out=room)
+            room *= self.rate * share / (1 - 0.9**self.number)
+            out[name] = w[name] - room
         return out
 
 

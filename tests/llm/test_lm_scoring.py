@@ -92,6 +92,44 @@ def test_gradients_of_some_places(asked):
         assert np.allclose(x, found[name], atol=1e-9), name
 
 
+def test_blocks_are_of_the_size_that_is_multiplied_fastest():
+    """Above a million multiplications a product of matrices first copies them at other places."""
+    places, n, total = attention.TOGETHER * attention.LENGTH, attention.SIZE, attention.CLASSES + 4
+    assert places * max((n + 1) * total, n * (4 * n + 2)) <= 10**6
+
+
+@pytest.mark.parametrize("size", [1, 40])
+def test_gradients_do_not_depend_on_blocks(monkeypatch, size):
+    """Full and partial blocks of windows sum up to the whole, with large weights too."""
+    model, windows = small_model(steps=3)
+    w = {n: x.astype(np.float64) * size for n, x in model.weights.items()}
+    given, wanted = windows[:7, :-1], model.classes[windows[:7, 1:]]
+    valid = np.ones(given.shape)
+    valid[2, 9:] = 0
+    assert attention.is_steady(w, w["q"] / math.sqrt(attention.SIZE)) == (size == 1)
+    loss, found = attention.gradients(w, given, wanted, valid)
+    monkeypatch.setattr(attention, "TOGETHER", 3)
+    part, by_block = attention.gradients(w, given, wanted, valid)
+    assert part == pytest.approx(loss)
+    for name, x in found.items():
+        assert np.isfinite(x).all()
+        assert np.allclose(by_block[name], x, atol=1e-9), name
+
+
+def test_steps_are_those_of_the_formula():
+    draw = np.random.default_rng(1)
+    w = {"a": draw.normal(size=(3, 2)).astype(np.float32)}
+    taken, first, second, at = attention.Steps(w, 0.05), 0.0, 0.0, w["a"].astype(float)
+    for n in range(1, 6):
+        g = draw.normal(size=(3, 2)).astype(np.float32)
+        before = w["a"].copy()
+        kept, w = w, taken.taken(w, {"a": g}, 0.5)
+        assert (kept["a"] == before).all()
+        first, second = 0.9 * first + 0.1 * g, 0.98 * second + 0.02 * g.astype(float) ** 2
+        at = at - 0.025 * first / (1 - 0.9**n) / (np.sqrt(second / (1 - 0.98**n)) + 1e-8)
+        assert np.allclose(w["a"], at, atol=1e-5) and w["a"].dtype == np.float32
+
+
 def test_pass_over_sequences_learns():
     model, windows = small_model(200, steps=5)
     texts = [w[1:].astype(np.int32) for w in windows] + [np.zeros(0, np.int32)]
